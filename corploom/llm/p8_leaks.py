@@ -31,7 +31,7 @@ SHINGLE = 5
 CHANGED_IN = 5
 LEAST_SHARE = 0.5
 _WORD = re.compile(r"[^\W_]+")
-_HIDDEN = re.compile("[­​-‏⁠﻿]")
+_HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
