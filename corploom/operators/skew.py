@@ -28,3 +28,15 @@ def hot_key_join(rows: DataFrame, groups: DataFrame, keys: list[str], count: str
     hot = groups.where(F.col(count) >= limit)
     cold = groups.where(F.col(count) < limit)
     return rows.join(F.broadcast(hot), keys).unionByName(rows.join(cold, keys))
+
+
+def hash_sample(df: DataFrame, id_col: str, n: int) -> DataFrame:
+    """About ``n`` rows, chosen by the hash of their id: the same rows every time, without sorting or collecting the rest.
+
+    All rows if there are no more than ``n``. Rows with the same id are taken or left together.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    slots = 1 << 30
+    return df.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(slots)) < int(slots * n / total))
