@@ -371,7 +371,7 @@ def sides_of(pdf: pd.DataFrame) -> list[tuple[int, str, Page]]:
     """(row, side, page) of the sides with text."""
     out = []
     for i, (su, st, tu, tt, standing) in enumerate(zip(pdf["src_url"], pdf["src_content"], pdf["tgt_url"], pdf["tgt_content"], pdf["standing"])):
-        keep = set(standing.tolist()) if standing is not None else set()
+        keep = set(standing) if standing is not None else set()
         words = address_words(su, tu)
         for side, text in (("src", st), ("tgt", tt)):
             if isinstance(text, str) and text.strip():
