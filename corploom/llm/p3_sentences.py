@@ -31,6 +31,7 @@ ABBREVIATIONS = set("dr mr mrs ms prof st no nos fig figs pp p vs approx cf sec
 MARKS = ".!?…。！？؟।．"
 _MARK = re.compile(r"[.!?…。！？؟।．｡]+|(?<=[ऀ-ॿ])\|")
 _OPEN = {"“": "”", "«": "»", "„": "“”", "「": "」", "『": "』", "《": "》", "〈": "〉", "（": "）", "(": ")", "[": "]", "【": "】", "‹": "›"}
+_ANY_OPEN = re.compile(r"[“«„「『《〈（(\[【‹\"]")
 _CLOSE = set("”»“」』》〉）)]】›")
 _LIST = re.compile(r"[ \t ]*(?:[-*•–—→‣▪·]|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)])[ \t ]+(?=\S)")
 _TOKEN_BEFORE = re.compile(r"(\S*)$")
@@ -69,6 +70,8 @@ def kind(c: str) -> str:
 def spans(text: str) -> list[int]:
     """For each position the end of the outermost closed quotation or bracket it is strictly inside of, else 0. Paragraphs are apart."""
     inside = [0] * (len(text) + 1)
+    if not _ANY_OPEN.search(text):
+        return inside
     for para in re.finditer(r"(?:[^\n]|\n(?![^\S\n]*\n))+", text):
         stack: list[tuple[int, str]] = []
         for i in range(para.start(), para.end()):
@@ -112,6 +115,20 @@ def soft_breaks(block: list[str], width: int) -> list[bool]:
     return out
 
 
+def spelled(traits: tuple) -> list[str]:
+    """Feature names of a candidate's traits."""
+    what, lang, mk, g, k, kn, kl, quoted, token, word, glued = traits
+    size = min(len(token), 8) if mk == "." else int(token)
+    f = [what, f"m{mk}", f"g{g}", f"k{k}", f"n{kn}", f"l{kl}", f"m{mk}n{kn}", f"{what}{g}{kn}{kl}", f"q{quoted}", f"q{quoted}{g}{kn}{kl}", f"L{lang}{what}", f"L{lang}m{mk}k{k}n{kn}", f"t{size}m{mk}n{kn}", f"w{word}q{quoted}"]
+    if what == "mark" and mk == ".":
+        digits = token.replace(",", "").replace(".", "").isdigit()
+        short = token in ABBREVIATIONS or len(token) == 1 and token.isalpha() or bool(re.fullmatch(r"[a-z]([.-]+[a-z])+", token))
+        f += [f"T{'9' if digits else token[:14]}L{lang}", f"T{'9' if digits else token[:14]}", f"A{short}{kn}", f"d{digits}{kn}L{lang}"]
+        if k in "lU" and g == "no":
+            f.append(f"glued{kn}{glued}")
+    return f
+
+
 class Text:
     """A text with its layout: hard breaks, and candidates with features."""
 
@@ -194,6 +211,11 @@ class Text:
         text = self.text
         if what == "line":
             return self.line_features(place, start, never)
+        return spelled(self.traits(place, what, start))
+
+    def traits(self, place: int, what: str, start: int) -> tuple:
+        """What the features of a candidate after a mark, or at a blank, are made of; few different ones occur often."""
+        text = self.text
         e = place
         while e > start and (text[e - 1] in _CLOSE or text[e - 1] == '"' or text[e - 1] in "   "):
             e -= 1
@@ -225,13 +247,8 @@ class Text:
                 opened = self.inside[o + 1] >= place - 2 and first not in "([（《"
             colon = re.search(r"[:：]\s*$", text[start : max(start, self._opener(place))]) is not None
             quoted = "start" if opened else "colon" if colon else "in"
-        f = [what, f"m{mk}", f"g{g}", f"k{k}", f"n{kn}", f"l{kl}", f"m{mk}n{kn}", f"{what}{g}{kn}{kl}", f"q{quoted}", f"q{quoted}{g}{kn}{kl}", f"L{self.lang}{what}", f"L{self.lang}m{mk}k{k}n{kn}", f"t{min(len(token), 8)}m{mk}n{kn}", f"w{word[:12]}q{quoted}"]
-        if what == "mark" and mk == ".":
-            digits = token.replace(",", "").replace(".", "").isdigit()
-            f += [f"T{'9' if digits else token[:14]}L{self.lang}", f"T{'9' if digits else token[:14]}", f"A{token in ABBREVIATIONS or len(token) == 1 and token.isalpha() or bool(re.fullmatch(r'[a-z]([.-]+[a-z])+', token))}{kn}", f"d{digits}{kn}L{self.lang}"]
-            if k in "lU" and g == "no":
-                f.append(f"glued{kn}{'@' in before or 'www' in before or '/' in before}")
-        return f
+        glued = k in "lU" and g == "no" and ("@" in before or "www" in before or "/" in before)
+        return what, self.lang, mk, g, k, kn, kl, quoted, token if mk == "." else str(min(len(token), 8)), word[:12], glued
 
     def line_features(self, place: int, start: int, never: set[str] | frozenset = frozenset()) -> list[str]:
         """Features of a line break without a terminal mark before it: a heading's or list item's end, or a wrapped line."""
@@ -348,6 +365,10 @@ class Segmenter:
     def __init__(self) -> None:
         self.weights: dict[str, float] = {}
         self.never: set[str] = set()
+        self.known: dict[tuple, bool] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"known": {}}
 
     def fit(self, rows: list[tuple[str, str | None]], epochs: int = 25, rate: float = 0.5) -> "Segmenter":
         texts = [Text(x, lang) for x, lang in rows if x and x.strip()]
@@ -425,7 +446,15 @@ class Segmenter:
                 token = _TOKEN_BEFORE.search(t.text[max(0, place - 31) : place - 1]).group(1)
                 if len(token.strip("(\"'«“")) < 2 or "." in token.strip(".") and not token[-1:].islower() or not t.text[place + 1 : place + 2].islower() and t.text[place + 1 : place + 2] not in " '’":
                     return False
-        return self.probability(t.features(place, what, start, self.never)) >= 0.5
+        if what == "line":
+            return self.probability(t.line_features(place, start, self.never)) >= 0.5
+        traits = t.traits(place, what, start)
+        got = self.known.get(traits)
+        if got is None:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            got = self.known[traits] = self.probability(spelled(traits)) >= 0.5
+        return got
 
 
 def segment_texts(texts: DataFrame, id_col: str = "text_id", text_col: str = "texts", lang_col: str = "lang") -> DataFrame:
