@@ -1 +1 @@
-
+"""Readers and writers of text, tables and translation memories."""
