@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -30,7 +31,9 @@ from corploom.llm.p1_lines import site_of
 from corploom.operators.skew import hash_sample
 from corploom.session import cut, table
 
-STANDING_PAGES, STANDING_SHARE, STANDING_LETTERS = 3, 0.03, 20
+STANDING_PAGES, STANDING_SHARE = 3, 0.03
+#: Letters of a standing line: shorter ones are known by their words, longer ones are paragraphs of several sentences.
+STANDING_LETTERS, STANDING_MOST = 20, 160
 FIT_PAGES, FIT_STEPS, FIT_BATCH = 1_500, 260, 64
 BUCKETS, WIDTH, HIDDEN = 4_096, 20, 16
 SLOTS = 5
@@ -52,6 +55,7 @@ _SENTENCE_END = re.compile(r"[.!?]['\"”’»)\]*\s]*$")
 _WORDS = re.compile(r"[^\W_]+")
 _LEAD = re.compile(r"^\s*([^\w\s\"'“«(]+|\d{1,3}[.)]|[a-z][.)](?=\s))")
 _TAIL = re.compile(r"([^\w\s\"'”»).!?%]+)\s*$")
+_DIGIT = re.compile(r"\d")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 LEADS = {"→": 1, "»": 1, ">": 1, "+": 1, "↳": 2, "*": 3, "-": 4, "–": 4, "—": 4, "•": 5, "|": 6, "[": 6, "©": 7}
 
@@ -61,9 +65,12 @@ def letters(line: str) -> str:
 
 
 def key64(line: str) -> int | None:
-    """The line's letters as Spark's xxhash64; null below STANDING_LETTERS."""
+    """The line's letters as Spark's (signed) xxhash64; null outside the lengths of standing lines."""
     k = letters(line)
-    return xxhash.xxh64(k.encode(), seed=42).intdigest() if len(k) >= STANDING_LETTERS else None
+    if not STANDING_LETTERS <= len(k) <= STANDING_MOST:
+        return None
+    h = xxhash.xxh64(k.encode(), seed=42).intdigest()
+    return h - (1 << 64) if h >= 1 << 63 else h
 
 
 def site_standing(pages: DataFrame) -> DataFrame:
@@ -72,7 +79,7 @@ def site_standing(pages: DataFrame) -> DataFrame:
     whole = sides[0].unionByName(sides[1]).where("site IS NOT NULL AND text IS NOT NULL AND text <> ''")
     sizes = whole.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
     # the letters of the whole text, line by line, then the keys of the page's different lines
-    lines = F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\n]+", ""), "\n"), lambda x: F.length(x) >= STANDING_LETTERS))
+    lines = F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\n]+", ""), "\n"), lambda x: F.length(x).between(STANDING_LETTERS, STANDING_MOST)))
     keys = whole.select("site", "address", F.explode(lines).alias("letters")).select("site", "address", F.xxhash64("letters").alias("key"))
     counts = keys.groupBy("site", "key").agg(F.count(F.lit(1)).alias("pages"), F.min("address").alias("a"), F.max("address").alias("b")).where((F.col("pages") >= STANDING_PAGES) & (F.col("a") != F.col("b")))
     return counts.join(sizes, "site").where(F.col("pages") >= STANDING_SHARE * F.col("n")).groupBy("site").agg(F.collect_list("key").alias("standing"))
@@ -90,17 +97,29 @@ def word_id(w: str) -> int:
     return i
 
 
+def _split_words(low: str) -> list[str]:
+    """Words between blanks; the first and the last three without the marks around them."""
+    words = low.split()
+    for i in {0, 1, 2, len(words) - 3, len(words) - 2, len(words) - 1}:
+        if 0 <= i < len(words):
+            m = _WORDS.search(words[i])
+            words[i] = m.group() if m else words[i]
+    return words
+
+
 DENSE = 30
 _shapes: dict[str, tuple] = {}
 
 
-def shape(line: str) -> tuple[list[int], list[float], list[str], bool, bool, int]:
-    """Of one line without its page: word ids, path features, words, is it a sentence, is it cut off, lead class. Kept by line."""
+def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str], int | None]:
+    """Of one line without its page: word ids, path features, words, is it a sentence, is it cut off, lead class, longer words, key. Kept by line."""
     got = _shapes.get(line)
     if got is not None:
         return got
     s = line.strip()
-    words = _WORDS.findall(s.lower())
+    low = s.lower()
+    # long lines need their ends only; the words between serve as they are
+    words = _WORDS.findall(low) if len(s) <= 120 else _split_words(low)
     lead, tail = _LEAD.match(s), _TAIL.search(s)
     kind = 0
     if lead:
@@ -110,6 +129,7 @@ def shape(line: str) -> tuple[list[int], list[float], list[str], bool, bool, int
             kind = 10
     n = len(words)
     caps = s.isupper()
+    letters_low = s == low
     cut_off = bool(_CUT_OFF.search(s))
     sentence = n >= 5 and bool(_SENTENCE_END.search(s)) and not cut_off
     hashed = [word_id(words[0]), word_id(words[1]) if n > 1 else 0, word_id(words[2]) if n > 2 else 0, word_id(words[-1]), word_id(words[-2]) if n > 1 else 0] if n else [0] * SLOTS
@@ -121,12 +141,13 @@ def shape(line: str) -> tuple[list[int], list[float], list[str], bool, bool, int
     f[14] = 1.0 if sentence else 0.0
     f[15] = 1.0 if cut_off else 0.0
     f[16] = 1.0 if caps else 0.0
-    f[17] = 1.0 if s == s.lower() else 0.0
+    f[17] = 1.0 if letters_low else 0.0
     f[18] = 1.0 if ":" in s else 0.0
-    f[19] = 1.0 if any(c.isdigit() for c in s) else 0.0
+    f[19] = 1.0 if _DIGIT.search(s) else 0.0
     f[20] = 1.0 if len(s) > 180 else 0.0
     f[21] = 1.0 if " > " in s or " | " in s else 0.0
-    got = hashed, f, words, sentence, cut_off, kind
+    key = key64(line) if STANDING_LETTERS <= len(line) <= 2 * STANDING_MOST else None
+    got = array("i", hashed).tobytes(), array("f", f).tobytes(), words, sentence, cut_off, kind, [w for w in words if len(w) > 3], key
     if len(line) <= 120:
         if len(_shapes) > 40_000:
             _shapes.clear()
@@ -147,32 +168,28 @@ class Page:
                 self.lines.append(line)
                 self.parts.append(shape(line))
         n = len(self.lines)
-        self.ids = np.array([p[0] for p in self.parts], np.int64).reshape(n, SLOTS)
+        parts = self.parts
+        self.ids = np.frombuffer(b"".join([p[0] for p in parts]), np.int32).reshape(n, SLOTS)
         self.dense = np.zeros((n, DENSE), np.float32)
         if n:
-            self.dense[:, :22] = [p[1] for p in self.parts]
-        self.stands = np.zeros(n, bool)
-        if standing:
-            for k in range(n):
-                if len(self.lines[k]) >= STANDING_LETTERS:
-                    key = key64(self.lines[k])
-                    self.stands[k] = key is not None and (key - (1 << 64) if key >= 1 << 63 else key) in standing
-        running = set()
-        for k, p in enumerate(self.parts):
-            if p[3] and not self.stands[k]:
-                running.update(w for w in p[2] if len(w) > 3)
+            self.dense[:, :22] = np.frombuffer(b"".join([p[1] for p in parts]), np.float32).reshape(n, 22)
+        self.stands = np.array([p[7] in standing for p in parts], bool) if standing else np.zeros(n, bool)
+        running: set[str] = set()
+        for p, stands in zip(parts, self.stands.tolist()):
+            if p[3] and not stands:
+                running.update(p[6])
         self.own, self.topic, self.named = np.zeros(n), np.zeros(n), np.zeros(n, bool)
-        for k, p in enumerate(self.parts):
+        for k, p in enumerate(parts):
             words = p[2]
             if words and len(words) <= 16:
-                shared = [w for w in words if w in address]
-                self.own[k] = len(shared) / len(words)
-                if shared and not p[3]:
-                    line = self.lines[k]
-                    self.named[k] = any(len(w) > 4 and (w.capitalize() in line or w.upper() in line or line == line.lower()) for w in shared)
-                long = [w for w in words if len(w) > 3]
-                if long and not p[3]:
-                    self.topic[k] = sum(w in running for w in long) / len(long)
+                if not address.isdisjoint(words):
+                    shared = [w for w in words if w in address]
+                    self.own[k] = len(shared) / len(words)
+                    if not p[3]:
+                        line = self.lines[k]
+                        self.named[k] = any(len(w) > 4 and (w.capitalize() in line or w.upper() in line or line == line.lower()) for w in shared)
+                if not p[3] and not running.isdisjoint(p[6]):
+                    self.topic[k] = sum(w in running for w in p[6]) / len(p[6])
         self.stands &= self.own < 0.6
         d = self.dense
         if n:
