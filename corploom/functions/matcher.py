@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corploom.functions.normalize import NBSP, quotes_french
 
@@ -99,15 +99,19 @@ def match_case(reference: Column, target: Column) -> Column:
     return F.when(both, F.concat(F.when(upper, F.upper(first)).otherwise(F.lower(first)), F.substring(target, F.lit(2), F.length(target)))).otherwise(target)
 
 
-def match_form(reference: Column, target: Column, ref: str = "eng", tgt: str = "fra") -> Column:
-    """All matchers in order. Tags of the reference are dropped; an empty or null target becomes the reference."""
-    plain = F.regexp_replace(reference, "<[^>]+>", "")
-    out = match_end(plain, target, ref, tgt, "first")
-    out = match_end(plain, out, ref, tgt, "last")
-    out = F.when(plain.rlike(r"[(\[{]"), match_brackets(plain, out)).otherwise(out)
-    out = match_reference_number(plain, out, ref, tgt)
-    out = match_number_symbol(plain, out, ref, tgt)
-    out = match_case(plain, out)
-    if tgt == "fra":
-        out = quotes_french(out)
-    return F.when(F.coalesce(target, F.lit("")) == "", plain).when(plain == "", target).otherwise(out)
+def match_forms(df: DataFrame, reference: str, target: str, out: str = "out", ref: str = "eng", tgt: str = "fra") -> DataFrame:
+    """All matchers in order, as the column ``out``; one projection each, so that no expression is repeated.
+
+    Tags of the reference are dropped; an empty or null target becomes the reference; without a reference the target stays.
+    """
+    r, o = F.col("_ref"), F.col("_out")
+    steps = [
+        lambda: match_end(r, o, ref, tgt, "first"), lambda: match_end(r, o, ref, tgt, "last"), lambda: F.when(r.rlike(r"[(\[{]"), match_brackets(r, o)).otherwise(o),
+        lambda: match_reference_number(r, o, ref, tgt), lambda: match_number_symbol(r, o, ref, tgt), lambda: match_case(r, o), *([lambda: quotes_french(o)] if tgt == "fra" else []),
+    ]
+    kept = df.columns
+    now = df.withColumn("_ref", F.regexp_replace(reference, "<[^>]+>", "")).withColumn("_out", F.col(target))
+    for step in steps:
+        now = now.select(*kept, "_ref", step().alias("_out"))
+    result = F.when(F.coalesce(F.col(target), F.lit("")) == "", r).when(F.coalesce(r, F.lit("")) == "", F.col(target)).otherwise(o)
+    return now.select(*[c for c in kept if c != out], result.alias(out))

@@ -76,7 +76,7 @@ def gaps(text: Column, parts: Column) -> Column:
 
 def rebuild(parts: Column, between: Column) -> Column:
     """The text of parts and their gaps."""
-    return F.concat(F.array_join(F.zip_with(F.slice(between, F.lit(1), F.size(parts)), parts, F.concat), ""), F.element_at(between, -1))
+    return F.concat(F.array_join(F.zip_with(F.slice(between, F.lit(1), F.size(parts)), parts, lambda a, b: F.concat(a, b)), ""), F.element_at(between, -1))
 
 
 def subsentences(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corploom.functions import segment as S
 from corploom.functions.normalize import cat_tags, humanize, trim_unicode
@@ -57,7 +57,7 @@ def translate(lines: DataFrame, text_col: str, translator, out_col: str = "trans
     import pandas as pd
 
     names = [f.name for f in lines.schema.fields]
-    schema = lines.schema.add(out_col, "string")
+    schema = T.StructType([*lines.schema.fields, T.StructField(out_col, T.StringType())])
 
     def run(parts):
         for pdf in parts:
