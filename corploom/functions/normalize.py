@@ -14,7 +14,7 @@ from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corploom.functions.numbers import group_french
 
@@ -272,19 +272,30 @@ def _compose(texts: pd.Series) -> pd.Series:
 _EASTERN = ("ypt", "zhh", "zhs", "zht")
 
 
+def _chain(lang: str, english: Column | None) -> list[Callable[[Column], Column]]:
+    head = [clean_html, dollar_spaces]
+    if lang == "ara":
+        return [*head, repair, percentages, brackets_latin, quotes_latin, punctuation_arabic, word_spaces_latin]
+    if lang == "eng":
+        return [*head, repair, capitals_english, contractions_english, brackets_latin, punctuation_latin, word_spaces_latin, quotes_english, quotes_latin, percentages_english]
+    if lang == "fra":
+        return [*head, repair, alphabet_french, contractions_french, brackets_latin, punctuation_french, word_spaces_latin, quotes_latin, quotes_to_guillemets, apostrophe_french, percentages_french, lambda c: numbers_french(c, english)]
+    if lang == "jpn":
+        return [*head, lambda c: repair(c, False), percentages, brackets_japanese, quotes_japanese, punctuation_japanese, word_spaces_latin]
+    if lang in _EASTERN:
+        return [*head, lambda c: repair(c, False), percentages, brackets_chinese, quotes_chinese, punctuation_chinese, word_spaces_chinese]
+    return head
+
+
 def humanize(text: Column, lang: str, english: Column | None = None) -> Column:
     """The whole chain of a language, in order; languages without a chain only lose mark-up and get dollar spacing."""
-    out = dollar_spaces(clean_html(text))
-    if lang == "ara":
-        chain = [repair, percentages, brackets_latin, quotes_latin, punctuation_arabic, word_spaces_latin]
-    elif lang == "eng":
-        chain = [repair, capitals_english, contractions_english, brackets_latin, punctuation_latin, word_spaces_latin, quotes_english, quotes_latin, percentages_english]
-    elif lang == "fra":
-        chain = [repair, alphabet_french, contractions_french, brackets_latin, punctuation_french, word_spaces_latin, quotes_latin, quotes_to_guillemets, apostrophe_french, percentages_french, lambda c: numbers_french(c, english)]
-    elif lang == "jpn":
-        chain = [lambda c: repair(c, False), percentages, brackets_japanese, quotes_japanese, punctuation_japanese, word_spaces_latin]
-    elif lang in _EASTERN:
-        chain = [lambda c: repair(c, False), percentages, brackets_chinese, quotes_chinese, punctuation_chinese, word_spaces_chinese]
-    else:
-        chain = []
-    return functools.reduce(lambda c, f: f(c), chain, out)
+    return functools.reduce(lambda c, f: f(c), _chain(lang, english), text)
+
+
+def humanize_table(df: DataFrame, text: str, lang: str, english: str | None = None, out: str | None = None) -> DataFrame:
+    """``humanize`` with one projection a step: steps that use their input several times don't repeat what came before."""
+    out, kept = out or text, df.columns
+    now = df.withColumn("_humanized", F.col(text))
+    for f in _chain(lang, None if english is None else F.col(english)):
+        now = now.select(*kept, f(F.col("_humanized")).alias("_humanized"))
+    return now.select(*[c for c in kept if c != out], F.col("_humanized").alias(out))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corploom.functions import segment as S
-from corploom.functions.normalize import cat_tags, humanize, trim_unicode
+from corploom.functions.normalize import cat_tags, humanize_table, trim_unicode
 from corploom.operators.relational import keep_first
 
 
 def clean_segments(texts: DataFrame, id_col: str, text_col: str, lang: str = "eng", least: int = 8, most: int = 100) -> DataFrame:
     """(id, pos, text): humanized sentences with the word length and shape of a segment, in order of the text."""
-    out = texts.select(F.col(id_col), F.posexplode(S.split_sentences(humanize(F.col(text_col), lang), lang)).alias("pos", "text"))
+    plain = humanize_table(texts.select(id_col, text_col), text_col, lang)
+    out = plain.select(F.col(id_col), F.posexplode(S.split_sentences(F.col(text_col), lang)).alias("pos", "text"))
     return out.where(S.has_word_length(F.col("text"), least, most) & S.is_sentence(F.col("text"), lang))
 
 

@@ -76,10 +76,19 @@ NORMALIZERS = {
     "norm_quotes_latin": (N.quotes_latin, "srctexts"), "norm_quotes_french": (N.quotes_french, "tgttexts"), "norm_quotes_chinese": (N.quotes_chinese, "srctexts"), "norm_quotes_japanese": (N.quotes_japanese, "srctexts"), "norm_brackets_latin": (N.brackets_latin, "srctexts"),
     "norm_brackets_chinese": (N.brackets_chinese, "srctexts"), "norm_brackets_japanese": (N.brackets_japanese, "srctexts"), "norm_contractions_english": (N.contractions_english, "srctexts"), "norm_contractions_french": (N.contractions_french, "tgttexts"),
     "norm_quotes_english": (N.quotes_english, "tgttexts"), "norm_guillemets": (N.quotes_to_guillemets, "tgttexts"), "norm_apostrophe_french": (N.apostrophe_french, "tgttexts"), "norm_alphabet_french": (N.alphabet_french, "tgttexts"),
-    "norm_repair": (N.repair, "srctexts"), "norm_html": (N.clean_html, "srctexts"), "norm_tags": (N.cat_tags, "srctexts"), "norm_humanize_eng": (lambda c: N.humanize(c, "eng"), "srctexts"), "norm_humanize_fra": (lambda c: N.humanize(c, "fra"), "tgttexts"),
+    "norm_repair": (N.repair, "srctexts"), "norm_html": (N.clean_html, "srctexts"), "norm_tags": (N.cat_tags, "srctexts"),
 }
 
 
+def norm_humanize_eng(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.humanize_table(table(spark, sf_dir, "tm_fileparser").select("tm_id", "srctexts"), "srctexts", "eng", out="out").select("tm_id", "out")
+
+
+def norm_humanize_fra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the English side, which decides the numbers."""
+    return N.humanize_table(table(spark, sf_dir, "tm_fileparser").select("tm_id", "srctexts", "tgttexts"), "tgttexts", "fra", "srctexts", "out").select("tm_id", "out")
+
+
 def norm_numbers_french(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "tm_fileparser").select("tm_id", N.numbers_french(T("tgttexts"), T("srctexts")).alias("out"))
 
@@ -169,8 +178,8 @@ def _inner(left: str, right: str, pad: str = "") -> str:
     return rf"'{a}{ws}*([^{left}{right}{ws[1:-1]}](?:{no}*[^{left}{right}{ws[1:-1]}])?){ws}*{b}', '{left}{pad}\1{pad}{right}', 'g'"
 
 
-_FLAT = r"trim(regexp_replace(srctexts, '[\s\x0b]+', ' ', 'g'))"
-QUERIES = {f.__name__: f for f in (clean_pipeline, segment_word_len, segment_shape, sentence_explode, paragraph_sentences, sentence_gaps, subsentences, segments_humanized, norm_numbers_french, norm_tag_dedup, tokens_words, tokens_detokenized, tokens_search, tokens_simple, tokens_query, tokens_subword, script_names, text_characters, chinese_predicates, entity_counts, entity_counts_portable, canonical_text, language_codes, symbols)}
+_FLAT = r"trim(regexp_replace(srctexts, '[\s\x0b]+', ' ', 'g'), ' ')"
+QUERIES = {f.__name__: f for f in (clean_pipeline, segment_word_len, segment_shape, sentence_explode, paragraph_sentences, sentence_gaps, subsentences, segments_humanized, norm_humanize_eng, norm_humanize_fra, norm_numbers_french, norm_tag_dedup, tokens_words, tokens_detokenized, tokens_search, tokens_simple, tokens_query, tokens_subword, script_names, text_characters, chinese_predicates, entity_counts, entity_counts_portable, canonical_text, language_codes, symbols)}
 QUERIES |= {name: _normalizer(f, name, text) for name, (f, text) in NORMALIZERS.items()}
 SQL = {
     "clean_pipeline": r"""WITH raw AS (SELECT doc_id, coalesce(lower(trim(lang)), '-') AS lang, unnest(regexp_extract_all(text, '[^.!?\n]+[.!?]*')) AS raw, generate_subscripts(regexp_extract_all(text, '[^.!?\n]+[.!?]*'), 1) - 1 AS pos FROM documents),

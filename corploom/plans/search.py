@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corploom.functions import segment as S
 from corploom.operators import align as A, crawl as W, langid as L, relational as R, search as Q
-from corploom.session import table
+from corploom.session import cut, table
 
 STOP = "the of and to in a is that it was for on with as by at this from are be have has will would could not than which said but who when after or an its".split()
 
@@ -135,14 +135,15 @@ def _bitext(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English and French tokens of the search segments; repeated pairs collapse to the first."""
     token = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"(?U)[\p{L}\p{N}]+"), F.lit(0))
     rows = table(spark, sf_dir, "segments").where("lower(src_lang) = 'eng' AND lower(tgt_lang) = 'fra' AND tgt_text IS NOT NULL")
-    return R.keep_first(rows.select(F.col("query_id").alias("line_no"), token("src_text").alias("src_tokens"), token("tgt_text").alias("tgt_tokens")), ["src_tokens", "tgt_tokens"], ["line_no"])
+    # written once: the alignment reads it several times
+    return cut(R.keep_first(rows.select(F.col("query_id").alias("line_no"), token("src_text").alias("src_tokens"), token("tgt_text").alias("tgt_tokens")), ["src_tokens", "tgt_tokens"], ["line_no"]))
 
 
 def _links(pairs: DataFrame) -> DataFrame:
     forward = A.align(pairs, A.lexical_table(pairs, rounds=4))
     turned = pairs.select("line_no", F.col("tgt_tokens").alias("src_tokens"), F.col("src_tokens").alias("tgt_tokens"))
     back = A.align(turned, A.lexical_table(turned, rounds=4)).select("line_no", F.transform("links", lambda x: F.struct(x["j"].alias("i"), x["i"].alias("j"))).alias("back"))
-    return forward.join(back, "line_no").select("line_no", A.symmetrize("links", "back").alias("links"))
+    return cut(forward.join(back, "line_no").select("line_no", A.symmetrize("links", "back").alias("links")))
 
 
 def word_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +158,7 @@ def term_combo_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def term_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 500 best source terms carried to the target side, the best score of each source."""
     pairs = _bitext(spark, sf_dir)
-    terms = A.top_terms(A.term_candidates(pairs, "src_tokens", STOP), 500)
+    terms = cut(A.top_terms(A.term_candidates(pairs, "src_tokens", STOP), 500))
     found = A.project_terms(pairs, _links(pairs), terms)
     return R.keep_first(found, ["source"], [-F.col("score"), "target"]).select("source", "target", F.round("score", 6).alias("score"))
 
@@ -187,7 +188,7 @@ QUERIES = {f.__name__: f for f in (bm25_stats, bm25_topk, count_cosine_best_matc
 SQL = {
     "bm25_stats": f"WITH {_D}, {_IDF} SELECT term, df, round(idf, 6) AS idf FROM idf",
     "bm25_topk": f"""WITH {_D}, {_IDF}, w AS (SELECT tf.query_id, tf.term, idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len(t) / avg)) AS w FROM tf JOIN idf USING (term) JOIN d USING (query_id), n),
-q AS (SELECT DISTINCT query_id AS q, unnest(t) AS term FROM d WHERE query_id % 50 = 0), s AS (SELECT q, query_id, sum(w) AS score FROM q JOIN w USING (term) GROUP BY 1, 2)
+q AS (SELECT DISTINCT query_id AS q, unnest(t) AS term FROM d WHERE query_id % 50 = 0), s AS (SELECT q, query_id, round(sum(w), 6) AS score FROM q JOIN w USING (term) GROUP BY 1, 2)
 SELECT q, query_id, round(score, 6) AS score, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, query_id) AS r FROM s) WHERE r <= 5""",
     "count_cosine_best_match": f"""WITH {_D}, l AS (SELECT query_id, sqrt(sum(tf * tf)) AS l FROM tf GROUP BY 1), s AS (SELECT a.query_id AS q, b.query_id, round(sum(a.tf * b.tf) / (x.l * y.l), 9) AS s FROM tf a JOIN tf b USING (term) JOIN l x ON x.query_id = a.query_id JOIN l y ON y.query_id = b.query_id WHERE a.query_id % 50 = 0 GROUP BY a.query_id, b.query_id, x.l, y.l),
 b AS (SELECT q, query_id, s, row_number() OVER (PARTITION BY q ORDER BY s DESC, query_id) AS r FROM s)
