@@ -83,7 +83,21 @@ def read_memory(spark: SparkSession, path, kind: str, **options) -> DataFrame:
 
 
 def write_tmx(pairs: DataFrame, path: str, src_lang: str, tgt_lang: str, src: str = "src", tgt: str = "tgt") -> None:
-    """A folder of TMX bodies with ``tu``/``tuv``/``seg``; rows with a null side are left out."""
-    seg = lambda lang, c: F.struct(F.lit(lang).alias("_xml:lang"), F.col(c).alias("seg"))
-    out = pairs.where(F.col(src).isNotNull() & F.col(tgt).isNotNull()).select(F.array(seg(src_lang, src), seg(tgt_lang, tgt)).alias("tuv"))
-    out.write.mode("overwrite").format("xml").option("rootTag", "body").option("rowTag", "tu").option("attributePrefix", "_").save(path)
+    """A folder of complete TMX documents, one a task; rows with a null side are left out."""
+    from collections.abc import Iterator
+    from xml.sax.saxutils import escape, quoteattr
+
+    import pandas as pd
+
+    a, b = quoteattr(src_lang), quoteattr(tgt_lang)
+
+    def document(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": [f'<?xml version="1.0" encoding="UTF-8"?><tmx version="1.4"><header creationtool="corploom" creationtoolversion="1" segtype="sentence" o-tmf="none" adminlang="en" srclang={a} datatype="plaintext"/><body>']})
+        for pdf in parts:
+            # line ends inside a segment would end a line of the file
+            flat = pdf.map(lambda x: escape(" ".join(x.splitlines())))
+            yield pd.DataFrame({"value": [f"<tu><tuv xml:lang={a}><seg>{x}</seg></tuv><tuv xml:lang={b}><seg>{y}</seg></tuv></tu>" for x, y in zip(flat["src"], flat["tgt"])]})
+        yield pd.DataFrame({"value": ["</body></tmx>"]})
+
+    whole = pairs.select(F.col(src).alias("src"), F.col(tgt).alias("tgt")).where("src IS NOT NULL AND tgt IS NOT NULL")
+    whole.mapInPandas(document, "value string").write.mode("overwrite").text(path)
