@@ -23,6 +23,9 @@ from corploom.session import cut, table
 #: Pages of one site from which a recurring line counts, and the false-discovery rate of the test before it.
 MIN_PAGES = 6
 FDR = 0.05
+#: A site with fewer pages can't show a repetition, so its pages are no background. Prior of the background: so many pages
+#: on which so many coincidental occurrences were seen (it decides only where the corpus outside a site is tiny).
+PRIOR_PAGES, PRIOR_SEEN = 100.0, 0.1
 #: G2 histogram: bins of 0.01 up to 2000 (a p-value far under any threshold); fixed size.
 BIN, BINS = 0.01, 200_000
 
@@ -85,12 +88,15 @@ def excess_lines(pages: DataFrame, id_col: str = "crawl_id", url_col: str = "src
     counts = site_line_counts(pages, id_col, url_col, text_col)
     sites = pages.select(site_of(F.col(url_col)).alias("site")).where("site IS NOT NULL").groupBy("site").agg(F.count(F.lit(1)).alias("site_pages"))
     # of a line found on one page only of every site, there's nothing to test; its key's single occurrences are background
-    by_key = counts.groupBy("key").agg(F.sum(F.when(F.col("pages") == 1, 1).otherwise(0)).alias("singles"), F.max("pages").alias("most")).where("most > 1").drop("most")
-    total = sites.agg(F.coalesce(F.sum("site_pages"), F.lit(0))).first()[0]
-    tested = counts.where("pages > 1").join(by_key, "key").join(sites, "site")
+    total, outside = sites.agg(F.coalesce(F.sum("site_pages"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("site_pages") >= min_pages, F.col("site_pages"))), F.lit(0))).first()
+    counts = counts.join(sites, "site")
+    single = F.when((F.col("pages") == 1) & (F.col("site_pages") >= min_pages), 1).otherwise(0)
+    by_key = counts.groupBy("key").agg(F.sum(single).alias("singles"), F.max("pages").alias("most")).where("most > 1").drop("most")
+    tested = counts.where("pages > 1").join(by_key, "key")
     k1, n1 = F.col("pages").cast("double"), F.col("site_pages").cast("double")
-    n2 = F.greatest(F.lit(float(total)) - n1, F.lit(0.0))
-    scored = cut(tested.select("site", "key", "pages", g2(k1, n1, F.least(F.col("singles").cast("double"), n2), n2).alias("g2")))
+    n2 = F.greatest(F.lit(float(outside)) - F.when(F.col("site_pages") >= min_pages, n1).otherwise(0.0), F.lit(0.0))
+    k2 = F.least(F.col("singles").cast("double"), n2)
+    scored = cut(tested.select("site", "key", "pages", g2(k1, n1, k2 + PRIOR_SEEN, n2 + PRIOR_PAGES).alias("g2")))
     hist = scored.groupBy(F.least(F.floor(F.col("g2") / BIN), F.lit(BINS)).cast("int").alias("bin")).count().collect()  # at most BINS + 1 rows
     threshold = fdr_threshold([(r["bin"], r["count"]) for r in hist], rate)
     return scored.where((F.col("g2") >= threshold) & (F.col("pages") >= min_pages)), total

@@ -35,7 +35,8 @@ FIRST_BYTES, MOST_BYTES = 2, 4_096
 
 def canonical_side(text: Column) -> Column:
     """Canonical form of one text; null if it has no letter or digit."""
-    folded = F.lower(F.upper(text))
+    # case folding beyond lower case: the sharp s and the final sigma
+    folded = F.translate(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), "ς", "σ")
     spaced = F.regexp_replace(folded, r"(?U)[\s\p{Z}\p{C}]+", " ")
     # marks directly between two digits are kept; all other marks, and the blanks, go
     kept = F.regexp_replace(spaced, r"(?<!\p{Nd})[\p{P}\p{S}]|[\p{P}\p{S}](?!\p{Nd})| ", "")
@@ -182,7 +183,7 @@ def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_groups(table(spark, sf_dir, "tm_fileparser"))[0].select("keep_id", "copies")
 
 
-_SIDE = r"regexp_replace(regexp_replace(regexp_replace(lower(upper(regexp_replace({c}, '[\s\p{{Z}}\p{{C}}]+', ' ', 'g'))), '(\p{{Nd}})([\p{{P}}\p{{S}}])(\p{{Nd}})', '\1' || chr(57344) || '\2' || chr(57345) || '\3', 'g'), '(\p{{Nd}})([\p{{P}}\p{{S}}])(\p{{Nd}})', '\1' || chr(57344) || '\2' || chr(57345) || '\3', 'g'), '(' || chr(57344) || '[^' || chr(57345) || ']' || chr(57345) || ')|[\p{{P}}\p{{S}} ]', '\1', 'g')"
+_SIDE = r"regexp_replace(regexp_replace(regexp_replace(translate(replace(lower(regexp_replace({c}, '[\s\p{{Z}}\p{{C}}]+', ' ', 'g')), 'ß', 'ss'), 'ς', 'σ'), '(\p{{Nd}})([\p{{P}}\p{{S}}])(\p{{Nd}})', '\1' || chr(57344) || '\2' || chr(57345) || '\3', 'g'), '(\p{{Nd}})([\p{{P}}\p{{S}}])(\p{{Nd}})', '\1' || chr(57344) || '\2' || chr(57345) || '\3', 'g'), '(' || chr(57344) || '[^' || chr(57345) || ']' || chr(57345) || ')|[\p{{P}}\p{{S}} ]', '\1', 'g')"
 _KEYED = f"""sides AS (SELECT tm_id, {_SIDE.format(c="srctexts")} AS a, {_SIDE.format(c="tgttexts")} AS b FROM tm_fileparser WHERE srctexts IS NOT NULL AND tgttexts IS NOT NULL),
 keyed AS (SELECT tm_id, least(a, b) || chr(10) || greatest(a, b) AS k FROM sides WHERE regexp_matches(a, '[\\p{{L}}\\p{{N}}]') AND regexp_matches(b, '[\\p{{L}}\\p{{N}}]')),
 grouped AS (SELECT k, min(tm_id) AS keep_id, count(*) AS copies FROM keyed GROUP BY k)"""
