@@ -76,7 +76,7 @@ def _jaro(a: str, b: str) -> float:
     if not first:
         return 0.0
     n = len(first)
-    moved = sum(x != y for x, y in zip(first, (y for y, t in zip(b, taken) if t))) / 2
+    moved = sum(x != y for x, y in zip(first, (y for y, t in zip(b, taken) if t))) // 2
     return (n / len(a) + n / len(b) + (n - moved) / n) / 3
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["cleaning", "relations", "search"]
+MODULES = ["cleaning", "formats", "relations", "search"]
 
 
 def load() -> tuple[dict, dict]:

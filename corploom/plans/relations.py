@@ -113,7 +113,7 @@ def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parallel_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "tm_fileparser")
-    a, b = df.select("file_id", "line_no", F.col("srctexts").alias("a")), df.where("line_no < 50").select("file_id", "line_no", F.col("tgttexts").alias("b"))
+    a, b = df.select("file_id", "line_no", F.col("srctexts").alias("a")), df.where("tgttexts IS NOT NULL").select("file_id", "line_no", F.col("tgttexts").alias("b"))
     return R.zip_rows(a, b, "file_id", "line_no")
 
 
@@ -158,6 +158,18 @@ def similarity_levenshtein(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir).select("tm_id", F.round(Y.levenshtein(a, b), 6).alias("s"))
 
 
+def similarity_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The multiset measures."""
+    a, b = F.col("a"), F.col("b")
+    return _pairs(spark, sf_dir).select("tm_id", *[F.round(Y.similarity(a, b, m), 6).alias(m) for m in ("jaccard", "sorensen_dice", "cosine")])
+
+
+def similarity_jaro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ASCII texts only, as other engines count bytes."""
+    a, b = (F.regexp_replace(c, r"[^\x00-\x7f]", "") for c in "ab")
+    return _pairs(spark, sf_dir).select("tm_id", F.round(Y.similarity(a, b, "jaro"), 6).alias("jaro"))
+
+
 def similarity_python(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = F.col("a"), F.col("b")
     return _pairs(spark, sf_dir).select("tm_id", *[F.round(Y.similarity(a, b, m), 6).alias(m) for m in ("damerau", "jaro", "jaro_winkler", "ratcliff_obershelp")])
@@ -200,7 +212,7 @@ def translate_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _META = "SELECT s.query_id, s.src_text, s.tgt_text, s.quality, s.{k}, m.uri, m.owner{x}, y.ycc, y.domain FROM segments s JOIN {t} m USING ({k}) JOIN ycc_domains y USING (ycc_id)"
 _FR = "replace(replace(format('{:,.2f}', o_totalprice), ',', chr(160)), '.', ',')"
-QUERIES = {f.__name__: f for f in (merge_dedup_keep_first, ordered_distinct, dedup_best_score, single_token_drop, untranslated_split, language_routing, machine_against_memory, year_filter, line_batches, batch_translate, staleness_action, anti_join_incremental, set_difference_by_group, group_check, keyed_update, count_update, group_collect, section_runs, sheet_union, sample_exact, parallel_zip, segment_records, search_metadata_join, search_file_join, classifier_metrics, length_ratio, similarity_builtin, similarity_levenshtein, similarity_python, match_form, translate_number, translate_percent, translate_currency, translate_date, translate_template, translate_assembled)}
+QUERIES = {f.__name__: f for f in (merge_dedup_keep_first, ordered_distinct, dedup_best_score, single_token_drop, untranslated_split, language_routing, machine_against_memory, year_filter, line_batches, batch_translate, staleness_action, anti_join_incremental, set_difference_by_group, group_check, keyed_update, count_update, group_collect, section_runs, sheet_union, sample_exact, parallel_zip, segment_records, search_metadata_join, search_file_join, classifier_metrics, length_ratio, similarity_builtin, similarity_levenshtein, similarity_sets, similarity_jaro, similarity_python, match_form, translate_number, translate_percent, translate_currency, translate_date, translate_template, translate_assembled)}
 SQL = {
     "merge_dedup_keep_first": "WITH u AS (SELECT tm_id AS id, srctexts AS text, 0 AS part FROM tm_fileparser UNION ALL SELECT query_id, src_text, 1 FROM segments) SELECT id, text, part FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY part, id) AS r FROM u) WHERE r = 1",
     "ordered_distinct": "SELECT query_id, src_text FROM (SELECT *, row_number() OVER (PARTITION BY src_text ORDER BY query_id) AS r FROM segments) WHERE r = 1",
@@ -220,7 +232,7 @@ SQL = {
     "group_collect": "SELECT domain, string_agg(ycc, ',' ORDER BY ycc) AS codes FROM ycc_domains GROUP BY domain",
     "sheet_union": r"SELECT DISTINCT regexp_replace(owner, '^\s*(.+?)\.+\s*$', '\1') AS company, k AS \"Industry\" FROM (SELECT owner, 'web' AS k FROM website UNION ALL SELECT owner, 'file' FROM source_file)".replace('\\"', '"'),
     "sample_exact": "SELECT doc_id FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 100",
-    "parallel_zip": "SELECT a.file_id, a.line_no, a.srctexts AS a, b.tgttexts AS b FROM tm_fileparser a JOIN (SELECT * FROM tm_fileparser WHERE line_no < 50) b USING (file_id, line_no)",
+    "parallel_zip": "SELECT a.file_id, a.line_no, a.srctexts AS a, b.tgttexts AS b FROM tm_fileparser a JOIN (SELECT * FROM tm_fileparser WHERE tgttexts IS NOT NULL) b USING (file_id, line_no)",
     "machine_against_memory": "WITH k AS (SELECT srctexts, mt_origin AS o, min(tgttexts) AS t FROM tm_fileparser GROUP BY 1, 2) SELECT a.srctexts, coalesce(trim(a.t) = trim(b.t), false) AS same FROM k a JOIN k b ON a.srctexts = b.srctexts AND a.o = 'mt' AND b.o = 'tm'",
     "segment_records": "SELECT tm_id AS query_id, 'eng' AS src_lang, 'fra' AS tgt_lang, srctexts AS src_text, tgttexts AS tgt_text, CAST(NULL AS DOUBLE) AS quality, 'file' AS type, CAST(NULL AS BIGINT) AS website_id, CAST(NULL AS BIGINT) AS file_id, CAST(NULL AS VARCHAR) AS note FROM tm_fileparser",
     "search_metadata_join": _META.format(k="website_id", t="website", x=""),
@@ -228,6 +240,9 @@ SQL = {
     "classifier_metrics": """WITH d AS (SELECT src_lang AS t, CASE WHEN tgt_lang = 'fra' THEN 'eng' ELSE 'fra' END AS p FROM tm_fileparser WHERE src_lang IS NOT NULL), l AS (SELECT t AS label FROM d UNION SELECT p FROM d),
 c AS (SELECT label, (SELECT count(*) FROM d WHERE t = label AND p = label) AS tp, (SELECT count(*) FROM d WHERE t = label) AS s, (SELECT count(*) FROM d WHERE p = label) AS g FROM l)
 SELECT label, s AS support, round(CASE WHEN g > 0 THEN tp / g ELSE 0.0 END, 6) AS precision, round(CASE WHEN s > 0 THEN tp / s ELSE 0.0 END, 6) AS recall, round(CASE WHEN s + g > 0 THEN 2 * tp / (s + g) ELSE 0.0 END, 6) AS f1, round((SELECT count(*) FILTER (t = p) / count(*) FROM d), 6) AS accuracy FROM c""",
+    "similarity_sets": """WITH x AS (SELECT tm_id, srctexts AS a, tgttexts AS b, length(srctexts) AS m, length(tgttexts) AS n, coalesce(list_sum(list_transform(list_distinct(string_split(srctexts, '')), lambda c: least(length(srctexts) - length(replace(srctexts, c, '')), length(tgttexts) - length(replace(tgttexts, c, ''))))), 0) AS k FROM tm_fileparser)
+SELECT tm_id, CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 WHEN b IS NOT NULL THEN round(k / (m + n - k), 6) END AS jaccard, CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 WHEN b IS NOT NULL THEN round(2 * k / (m + n), 6) END AS sorensen_dice, CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 WHEN b IS NOT NULL THEN round(k / sqrt(m::DOUBLE * n), 6) END AS cosine FROM x""",
+    "similarity_jaro": r"WITH x AS (SELECT tm_id, regexp_replace(srctexts, '[^\x00-\x7f]', '', 'g') AS a, regexp_replace(tgttexts, '[^\x00-\x7f]', '', 'g') AS b FROM tm_fileparser) SELECT tm_id, round(CASE WHEN a = b THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 ELSE jaro_similarity(a, b) END, 6) AS jaro FROM x",
     "similarity_levenshtein": r"WITH x AS (SELECT tm_id, regexp_replace(srctexts, '[^\x00-\x7f]', '', 'g') AS a, regexp_replace(tgttexts, '[^\x00-\x7f]', '', 'g') AS b FROM tm_fileparser) SELECT tm_id, round(CASE WHEN a = '' AND b = '' THEN 1.0 ELSE 1 - levenshtein(a, b) / nullif(greatest(length(a), length(b)), 0) END, 6) AS s FROM x",
     "translate_number": f"SELECT o_orderkey, {_FR} AS out FROM orders",
     "translate_percent": f"SELECT o_orderkey, {_FR} || chr(160) || '%' AS out FROM orders",
