@@ -120,7 +120,8 @@ def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str
     low = s.lower()
     # long lines need their ends only; the words between serve as they are
     words = _WORDS.findall(low) if len(s) <= 120 else _split_words(low)
-    lead, tail = _LEAD.match(s), _TAIL.search(s)
+    end = s[-24:]  # what a line ends in is looked for at its end only
+    lead, tail = _LEAD.match(s), not s[-1:].isalnum() and _TAIL.search(end)
     kind = 0
     if lead:
         mark = lead.group(1)
@@ -130,8 +131,8 @@ def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str
     n = len(words)
     caps = s.isupper()
     letters_low = s == low
-    cut_off = bool(_CUT_OFF.search(s))
-    sentence = n >= 5 and bool(_SENTENCE_END.search(s)) and not cut_off
+    cut_off = ("…" in end or "..." in end) and bool(_CUT_OFF.search(end))
+    sentence = n >= 5 and not s[-1:].isalnum() and bool(_SENTENCE_END.search(end)) and not cut_off
     hashed = [word_id(words[0]), word_id(words[1]) if n > 1 else 0, word_id(words[2]) if n > 2 else 0, word_id(words[-1]), word_id(words[-2]) if n > 1 else 0] if n else [0] * SLOTS
     f = [0.0] * 22
     f[kind] = 1.0
@@ -384,6 +385,13 @@ def batch(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, dense, mask
 
 
+def chunks(batches: Iterator[pd.DataFrame], rows: int = 512) -> Iterator[pd.DataFrame]:
+    """Arrow batches in parts of so many pages, which bounds what a worker holds."""
+    for pdf in batches:
+        for a in range(0, len(pdf), rows):
+            yield pdf.iloc[a : a + rows]
+
+
 def sides_of(pdf: pd.DataFrame) -> list[tuple[int, str, Page]]:
     """(row, side, page) of the sides with text."""
     out = []
@@ -429,7 +437,7 @@ def label_pages(pages: DataFrame, id_col: str = "crawl_id") -> DataFrame:
     net = pages.sparkSession.sparkContext.broadcast(train(rows))
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in chunks(batches):
             sides = sides_of(pdf)
             ids = pdf["crawl_id"].tolist()
             out = [(ids[i], side, p.numbers[k]) for (i, side, p), probs in zip(sides, net.value.label([p for _, _, p in sides])) for k in np.nonzero(probs >= 0.5)[0].tolist()]
