@@ -170,16 +170,24 @@ class Text:
             k = e + 1
         self.inside = spans(text)
 
+    @classmethod
+    def line(cls, text: str, lang: str | None) -> "Text":
+        """A text of one line: nothing to find out about its layout."""
+        t = cls.__new__(cls)
+        t.text, t.lang, t.hard, t.soft, t.breaks, t.width = text, lang or "-", [0], set(), [], len(text)
+        m = _LIST.match(text)
+        t.markers = [(0, m.end())] if m else []
+        t.inside = spans(text)
+        return t
+
     def candidates(self) -> list[tuple[int, str]]:
         """(place, kind): a unit may end before the place; mark, line or blank. In order."""
         text, out = self.text, {}
-        marked = [False] * (len(text) + 1)
-        for a, b in self.markers:
-            for i in range(a, b):
-                marked[i] = True
+        marked = {i for a, b in self.markers for i in range(a, b)}
+        last = len(text.rstrip())
         for m in _MARK.finditer(text):
             e = m.end()
-            if marked[m.start()]:
+            if m.start() in marked:
                 continue
             while e < len(text):
                 c = text[e]
@@ -189,7 +197,7 @@ class Text:
                     e += 2
                 else:
                     break
-            if self.inside[e] or not text[e:].strip():
+            if self.inside[e] or e >= last:
                 continue
             out[e] = "mark"
         for a, b in self.breaks:
@@ -199,7 +207,7 @@ class Text:
                     out[e] = "line"
         if self.lang == "tha" or self.lang == "-" and len(_THAI.findall(text)) > 0.5 * len(text):
             for m in re.finditer(r"(?<=\S)[^\S\n]+(?=\S)", text):
-                if not self.inside[m.end()] and not marked[m.end() - 1] and m.start() not in out:
+                if not self.inside[m.end()] and m.end() - 1 not in marked and m.start() not in out:
                     out[m.start()] = "blank"
             for b in self.soft:
                 e = len(text[:b].rstrip())
@@ -416,7 +424,7 @@ class Segmenter:
 
     def units(self, text: str, lang: str | None = None) -> list[tuple[int, int]]:
         """(start, end) of the units of a text."""
-        t = Text(text, lang)
+        t = Text(text, lang) if "\n" in text else Text.line(text, lang)
         cuts, start, h = list(t.hard), 0, 0
         hard = sorted(t.hard)
         for place, what in t.candidates():
