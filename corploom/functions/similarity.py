@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import difflib
-from collections import Counter
 from collections.abc import Callable
 
 import pandas as pd

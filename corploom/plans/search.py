@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corploom.functions import segment as S
 from corploom.operators import align as A, crawl as W, langid as L, relational as R, search as Q
 from corploom.session import cut, table
 
