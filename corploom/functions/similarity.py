@@ -14,7 +14,7 @@ from corploom.functions.segment import word_count
 def length_ratio(a: Column, b: Column, unit: str = "word") -> Column:
     """Shorter through longer length, in words or characters; null if both are 0."""
     m, n = (word_count(a), word_count(b)) if unit == "word" else (F.length(a), F.length(b))
-    return F.least(m, n) / F.nullif(F.greatest(m, n), F.lit(0))
+    return F.when(m.isNotNull() & n.isNotNull(), F.least(m, n) / F.nullif(F.greatest(m, n), F.lit(0)))
 
 
 def length_similarity(a: Column, b: Column, unit: str = "char") -> Column:

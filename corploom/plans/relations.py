@@ -240,6 +240,9 @@ SQL = {
     "classifier_metrics": """WITH d AS (SELECT src_lang AS t, CASE WHEN tgt_lang = 'fra' THEN 'eng' ELSE 'fra' END AS p FROM tm_fileparser WHERE src_lang IS NOT NULL), l AS (SELECT t AS label FROM d UNION SELECT p FROM d),
 c AS (SELECT label, (SELECT count(*) FROM d WHERE t = label AND p = label) AS tp, (SELECT count(*) FROM d WHERE t = label) AS s, (SELECT count(*) FROM d WHERE p = label) AS g FROM l)
 SELECT label, s AS support, round(CASE WHEN g > 0 THEN tp / g ELSE 0.0 END, 6) AS precision, round(CASE WHEN s > 0 THEN tp / s ELSE 0.0 END, 6) AS recall, round(CASE WHEN s + g > 0 THEN 2 * tp / (s + g) ELSE 0.0 END, 6) AS f1, round((SELECT count(*) FILTER (t = p) / count(*) FROM d), 6) AS accuracy FROM c""",
+    "length_ratio": r"""WITH x AS (SELECT tm_id, trim(regexp_replace(srctexts, '[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'), ' ') AS a, trim(regexp_replace(tgttexts, '[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'), ' ') AS b FROM tm_fileparser),
+n AS (SELECT *, CASE WHEN a = '' THEN 0 ELSE len(string_split(a, ' ')) END AS m, CASE WHEN b = '' THEN 0 ELSE len(string_split(b, ' ')) END AS n FROM x)
+SELECT tm_id, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN round(least(m, n) / nullif(greatest(m, n), 0), 9) END AS words, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN round(least(length(a), length(b)) / nullif(greatest(length(a), length(b)), 0), 9) END AS chars, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN round(coalesce(least(length(a), length(b)) / nullif(greatest(length(a), length(b)), 0), 1.0), 9) END AS alike FROM n""",
     "similarity_sets": """WITH x AS (SELECT tm_id, srctexts AS a, tgttexts AS b, length(srctexts) AS m, length(tgttexts) AS n, coalesce(list_sum(list_transform(list_distinct(string_split(srctexts, '')), lambda c: least(length(srctexts) - length(replace(srctexts, c, '')), length(tgttexts) - length(replace(tgttexts, c, ''))))), 0) AS k FROM tm_fileparser)
 SELECT tm_id, CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 WHEN b IS NOT NULL THEN round(k / (m + n - k), 6) END AS jaccard, CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 WHEN b IS NOT NULL THEN round(2 * k / (m + n), 6) END AS sorensen_dice, CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 WHEN b IS NOT NULL THEN round(k / sqrt(m::DOUBLE * n), 6) END AS cosine FROM x""",
     "similarity_jaro": r"WITH x AS (SELECT tm_id, regexp_replace(srctexts, '[^\x00-\x7f]', '', 'g') AS a, regexp_replace(tgttexts, '[^\x00-\x7f]', '', 'g') AS b FROM tm_fileparser) SELECT tm_id, round(CASE WHEN a = b THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 ELSE jaro_similarity(a, b) END, 6) AS jaro FROM x",

@@ -199,6 +199,9 @@ SELECT q, vec_id, round(s, 5) AS similarity, CAST(r AS INTEGER) AS rank FROM (SE
     "bfs_reachability": f"""WITH RECURSIVE {_E}, seeds AS (SELECT DISTINCT regexp_replace(trim(src_url), '[?#].*$', '') AS url FROM general_crawler WHERE website_id = 3 AND src_url IS NOT NULL),
 w(url, depth) AS (SELECT url, 0 FROM seeds UNION SELECT dst_url, depth + 1 FROM w JOIN edges ON src_url = url WHERE depth < 6) SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM w GROUP BY url""",
     "url_filter": f"WITH {_E}, u AS (SELECT *, regexp_replace(dst_url, '[?#].*$', '') AS u FROM edges WHERE dst_url LIKE 'https://%'), l AS (SELECT src_url, dst_url, lower(regexp_extract(CASE WHEN split_part(u, '/', -1) <> '' THEN split_part(u, '/', -1) ELSE split_part(u, '/', -2) END, '\\.(\\w+)$', 1)) AS x FROM u) SELECT src_url, dst_url, x = 'pdf' AS is_pdf FROM l WHERE x NOT IN ({', '.join(repr(x) for x in W.UNWANTED)})",
+    "url_parts": r"""WITH p AS (SELECT crawl_id, trim(src_url) AS u FROM general_crawler WHERE src_url LIKE 'http%'), b AS (SELECT *, regexp_replace(u, '[?#].*$', '') AS b FROM p),
+l AS (SELECT *, CASE WHEN split_part(b, '/', -1) <> '' THEN split_part(b, '/', -1) ELSE split_part(b, '/', -2) END AS last FROM b)
+SELECT crawl_id, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9_+.-]*://[^/?#]+)', 1)) AS host, last, nullif(split_part(u, '/', 4), '') AS lang, CASE WHEN length(CAST(crawl_id AS VARCHAR)) >= 6 THEN CAST(crawl_id AS VARCHAR) ELSE lpad(CAST(crawl_id AS VARCHAR), 6, '0') END || '_' || substr(regexp_replace(last, '\.\w+$', ''), 1, 80) || '_ENG.html' AS file FROM l""",
     "pair_by_anchor": f"WITH {_E}, f AS (SELECT url AS source, CASE WHEN bare LIKE 'http://%' OR bare LIKE 'https://%' THEN bare WHEN regexp_matches(bare, '^[A-Za-z][A-Za-z0-9_+.-]*:') THEN NULL WHEN bare LIKE '/%' THEN host || bare WHEN bare <> '' THEN regexp_replace(url, '([^/:])/[^/]*$', '\\1/') || bare END AS target FROM h) SELECT min(source) AS source, target FROM f WHERE target IS NOT NULL GROUP BY target",
     "pair_by_rule": r"WITH u AS (SELECT DISTINCT regexp_replace(regexp_replace(lower(trim(url)), '^https?://(www\.)?[^/]*', ''), '[?#].*$|/$', '') AS url FROM (SELECT src_url AS url FROM general_crawler UNION ALL SELECT tgt_url FROM general_crawler) WHERE url IS NOT NULL) SELECT min(a.url) AS source, b.url AS target FROM u a JOIN u b ON a.url LIKE '/en/%' AND b.url = '/fr/' || substr(a.url, 5) GROUP BY b.url",
     "document_type": f"WITH {_P} SELECT crawl_id, 'word' AS type FROM p",

@@ -103,6 +103,12 @@ def test_similarity(spark, metric, expected):
     assert got[0] == pytest.approx(expected, abs=1e-4) and got[1] == 1.0 and got[2] == 0.0 and got[3] is None and got[4] == pytest.approx(1.0)
 
 
+def test_length_ratio(spark):
+    df = spark.createDataFrame([(1, "a b", "a b c d"), (2, "", ""), (3, "a", None), (4, "", "abc")], "i int, a string, b string").orderBy("i")
+    assert [r[0] for r in df.select(Y.length_ratio(F.col("a"), F.col("b"))).collect()] == [0.5, None, None, 0.0]
+    assert [r[0] for r in df.select(Y.length_similarity(F.col("a"), F.col("b"))).collect()] == [pytest.approx(3 / 7), 1.0, None, 0.0]
+
+
 def test_jaccard_counts_repeats(spark):
     df = spark.createDataFrame([("aab", "ab")], "a string, b string")
     assert df.select(Y.jaccard(F.col("a"), F.col("b"))).first()[0] == pytest.approx(2 / 3)
