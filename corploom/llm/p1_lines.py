@@ -38,28 +38,30 @@ def site_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def line_key(line: Column) -> Column:
-    """The letters of a line in order, lower case, as 16 bytes; null if there are none."""
-    letters = F.regexp_replace(F.lower(line), r"[^\p{L}]+", "")
-    return F.when(letters != "", F.unhex(F.md5(letters)))
+def lines_in_letters(text: Column) -> Column:
+    """The letters of every line of a text in order, lower case: one pass over the text, the lines keep their numbers."""
+    return F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\n]+", ""), "\n")
+
+
+def key_of(letters: Column) -> Column:
+    """16 bytes that stand for the letters of a line."""
+    return F.unhex(F.md5(letters))
 
 
 def page_lines(pages: DataFrame, id_col: str, url_col: str, text_col: str) -> DataFrame:
     """(id, site, line_no, key) of every line with letters of a page of some site."""
     return (
-        pages.select(F.col(id_col).alias("page"), site_of(F.col(url_col)).alias("site"), F.col(text_col).alias("text"))
-        .where("site IS NOT NULL AND text IS NOT NULL")
-        .select("page", "site", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .select("page", "site", "line_no", line_key(F.col("line")).alias("key"))
-        .where("key IS NOT NULL")
+        pages.select(F.col(id_col).alias("page"), site_of(F.col(url_col)).alias("site"), F.posexplode(lines_in_letters(F.col(text_col))).alias("line_no", "letters"))
+        .where("site IS NOT NULL AND letters <> ''")
+        .select("page", "site", "line_no", key_of(F.col("letters")).alias("key"))
     )
 
 
 def site_line_counts(pages: DataFrame, id_col: str, url_col: str, text_col: str) -> DataFrame:
     """(site, key, pages): the number of the site's pages that hold the line, each page once."""
-    keys = F.array_distinct(F.filter(F.transform(F.split(F.col(text_col), "\n"), line_key), lambda k: k.isNotNull()))
-    per_page = pages.select(F.col(id_col).alias("page"), site_of(F.col(url_col)).alias("site"), F.explode(keys).alias("key")).where("site IS NOT NULL")
-    return per_page.groupBy("site", "key").agg(F.count(F.lit(1)).alias("pages"))
+    lines = F.array_distinct(lines_in_letters(F.col(text_col)))
+    per_page = pages.select(site_of(F.col(url_col)).alias("site"), F.explode(lines).alias("letters")).where("site IS NOT NULL AND letters <> ''")
+    return per_page.select("site", key_of(F.col("letters")).alias("key")).groupBy("site", "key").agg(F.count(F.lit(1)).alias("pages"))
 
 
 def g2(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
