@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np

@@ -3,7 +3,6 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from corploom.llm import p2_body as P2, p3_sentences as P3, p5_align as P5, p6_quality as P6, p8_leaks as P8, p9_subjects as P9
 
