@@ -34,19 +34,20 @@ FIRST_BYTES, MOST_BYTES = 2, 4_096
 
 
 def canonical_side(text: Column) -> Column:
-    """Canonical form of one text; null if it has no letter or digit."""
+    """Canonical form of one text: case folded, white space, punctuation and symbols dropped, but for a mark directly between two digits."""
     # case folding beyond lower case: the sharp s and the final sigma
     folded = F.translate(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), "ς", "σ")
-    spaced = F.regexp_replace(folded, r"(?U)[\s\p{Z}\p{C}]+", " ")
-    # marks directly between two digits are kept; all other marks, and the blanks, go
-    kept = F.regexp_replace(spaced, r"(?<!\p{Nd})[\p{P}\p{S}]|[\p{P}\p{S}](?!\p{Nd})| ", "")
-    return F.when(kept.rlike(r"[\p{L}\p{N}]"), kept)
+    # letters and digits, the bulk of a text, fail at the first test
+    return F.regexp_replace(folded, r"(?=[^\p{L}\p{N}\p{M}])(?:[^\p{L}\p{N}\p{M}\p{P}\p{S}]+|(?<!\p{Nd})[\p{P}\p{S}]|[\p{P}\p{S}](?!\p{Nd}))", "")
 
 
-def canonical_key(src: Column, tgt: Column) -> Column:
-    """Canonical bytes of a record, the same for exchanged sides; null if a side is no case."""
-    a, b = canonical_side(src), canonical_side(tgt)
-    return F.when(a.isNotNull() & b.isNotNull(), F.encode(F.concat(F.least(a, b), F.lit("\n"), F.greatest(a, b)), "UTF-8"))
+def canonical_keys(src: Column, tgt: Column) -> Column:
+    """Canonical bytes of a record, the same for exchanged sides, as an array of one; empty if a side has no letter or digit.
+
+    Each side is computed once: lambdas bind it, and the caller's explode keeps the optimizer from repeating it.
+    """
+    sides = F.array_sort(F.transform(F.array(src, tgt), canonical_side))
+    return F.filter(F.transform(F.array(sides), lambda p: F.when(F.forall(p, lambda x: F.coalesce(x.rlike(r"[\p{L}\p{N}]"), F.lit(False))), F.encode(F.concat(p[0], F.lit("\n"), p[1]), "UTF-8"))), lambda k: k.isNotNull())
 
 
 class Trie:
@@ -153,7 +154,7 @@ def bucket_of(levels: list[tuple[int, list[bytes]]]) -> Column:
 
 
 def canonical_records(records: DataFrame, id_col: str, src_col: str, tgt_col: str) -> DataFrame:
-    return records.select(F.col(id_col).cast("long").alias("id"), canonical_key(F.col(src_col), F.col(tgt_col)).alias("key")).where("key IS NOT NULL")
+    return records.select(F.col(id_col).cast("long").alias("id"), F.explode(canonical_keys(F.col(src_col), F.col(tgt_col))).alias("key"))
 
 
 def copy_groups(records: DataFrame, id_col: str = "tm_id", src_col: str = "srctexts", tgt_col: str = "tgttexts", bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
