@@ -88,3 +88,40 @@ def test_stream(spark, tmp_path):
     w.processAllAvailable()
     w.stop()
     assert {(r["t"], r["n"]) for r in spark.table("counted").collect()} == {("one two three four five six seven eight.", 2)}
+
+
+def test_insert_and_stored_tables(spark, tmp_path):
+    from corploom.operators.search import read_or_build, write_index
+
+    spark.sql(f"CREATE TABLE seg (id BIGINT, t STRING) USING parquet LOCATION '{tmp_path / 'seg'}'")
+    try:
+        df = spark.createDataFrame([(7, "a"), (8, None)], "id long, t string")
+        T.insert(df, "seg")
+        T.insert(df, "seg", primary_key="id")
+        assert {tuple(r) for r in spark.table("seg").collect()} == {(7, "a"), (8, None), (None, "a"), (None, None)}
+    finally:
+        spark.sql("DROP TABLE seg")
+    path, built = str(tmp_path / "index"), []
+
+    def build():
+        built.append(1)
+        return df
+
+    assert read_or_build(spark, path, build).count() == 2 and read_or_build(spark, path, build).count() == 2 and len(built) == 1
+    write_index(df.limit(1), path)
+    assert read_or_build(spark, path, build).count() == 1
+
+
+def test_queries_run_on_the_smallest_tables(spark):
+    """Every registered core query gives a stable schema; those with SQL have one of a registered name."""
+    import os
+
+    from corploom.plans import registry
+
+    queries, sql = registry.load()
+    assert set(sql) <= set(queries)
+    where = "/root/testdata/sf0.001"
+    if not os.path.exists(where):
+        pytest.skip("no test tables")
+    for name in ("clean_pipeline", "norm_humanize_fra", "keyed_update", "anchor_edges", "bm25_topk", "tmx_roundtrip", "match_form"):
+        assert queries[name](spark, where).limit(1).count() <= 1, name
