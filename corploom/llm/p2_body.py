@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corploom.llm.p1_lines import site_of
 from corploom.operators.skew import hash_sample
@@ -73,9 +73,15 @@ def key64(line: str) -> int | None:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+def page_path(url: Column) -> Column:
+    """The path of an address, however its scheme, host, query or ending are written: pages crawled again are one page."""
+    path = F.regexp_extract(F.lower(F.trim(url)), r"^(?:[a-z][a-z0-9+.-]*://)?[^/?#]*([^?#]*)", 1)
+    return F.regexp_replace(path, r"(?:/|\.[a-z]{2,5})$", "")
+
+
 def site_standing(pages: DataFrame) -> DataFrame:
     """(site, standing array<long>): hashes of the lines that stand on the site's pages, of either side."""
-    sides = [pages.select(site_of(F.coalesce(F.col(u), F.col(v))).alias("site"), F.xxhash64(F.regexp_replace(F.lower(F.col(u)), r"[?#].*", "")).alias("address"), F.col(t).alias("text")) for u, v, t in (("src_url", "tgt_url", "src_content"), ("tgt_url", "src_url", "tgt_content"))]
+    sides = [pages.select(site_of(F.coalesce(F.col(u), F.col(v))).alias("site"), F.xxhash64(page_path(F.col(u))).alias("address"), F.col(t).alias("text")) for u, v, t in (("src_url", "tgt_url", "src_content"), ("tgt_url", "src_url", "tgt_content"))]
     whole = sides[0].unionByName(sides[1]).where("site IS NOT NULL AND text IS NOT NULL AND text <> ''")
     sizes = whole.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
     # the letters of the whole text, line by line, then the keys of the page's different lines
@@ -191,7 +197,7 @@ class Page:
                         self.named[k] = any(len(w) > 4 and (w.capitalize() in line or w.upper() in line or line == line.lower()) for w in shared)
                 if not p[3] and not running.isdisjoint(p[6]):
                     self.topic[k] = sum(w in running for w in p[6]) / len(p[6])
-        self.stands &= self.own < 0.6
+        self.stands &= (self.own < 0.6) & ~self.named
         d = self.dense
         if n:
             d[:, 22] = self.stands
