@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application: they may start in any folder of any machine."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        folder = tempfile.mkdtemp(prefix="corploom-package-")
+        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "corploom"), "zip", root, "corploom"))
+
+
 def local_session(cpus: int = 4, shuffle: int = 8, memory: str = "6g") -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("corploom")
         .config("spark.sql.shuffle.partitions", str(shuffle))
@@ -22,6 +36,8 @@ def local_session(cpus: int = 4, shuffle: int = 8, memory: str = "6g") -> SparkS
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
+    ship(spark)
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -40,4 +56,5 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a scale directory."""
+    ship(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
