@@ -6,8 +6,8 @@ measure cells, items, broken characters, code and heaped or repeated words. Each
 language: the long table is range-partitioned by (statistic, language, value, id) and written; one small summary a partition
 gives the offsets, also of ties that run over several partitions; each partition then ranks its own rows. So no partition
 needs to hold a language or a hot value. The empirical tail probabilities (in the direction that is abnormal) are combined
-into an outlier score, the sum of -ln; a text with at least one tail under ``MAX_TAIL`` is examined, and the shares of its
-lines decide the kind: list, table or junk.
+into an outlier score, the sum of -ln. Tails are relative (the copies of a frequent text, or a rare language's only text,
+have high ones), so they leave no text out: of every text the shares of its lines decide the kind: list, table or junk.
 
 Null and blank texts have no row among the found; their statistics are null (count 0). A null language is a language of its
 own. Repeated rows are treated each; tied values share their rank. Empty tables give empty results.
@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from corploom.session import cut, table
 
 COMMON, LANGUAGES = 30, 64
-MAX_TAIL = 0.8
 ROWS_A_PARTITION = 500_000
 WORDS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]+"
 ENDS = r"[.!?…。！？؟।．\"”»’)\]」』]\s*$"
@@ -238,17 +237,16 @@ def measured(texts: DataFrame) -> DataFrame:
 
 
 def scored(texts: DataFrame) -> DataFrame:
-    """All statistics with outlier (sum of -ln tail) and least_tail."""
+    """All statistics with outlier (sum of -ln tail)."""
     rows = cut(measured(texts).withColumn("row", F.monotonically_increasing_id()))
     stats = F.array(*[F.struct(F.lit(s).alias("stat"), F.coalesce(F.col(s), F.lit(0.0)).alias("value")) for s in DIRECTIONS])
     long = rows.select(F.col("row").alias("text_id"), F.coalesce("lang", F.lit("")).alias("lang"), F.explode(stats).alias("x")).select("text_id", "lang", "x.stat", "x.value")
-    tails = exact_tails(long).groupBy("text_id").agg(F.sum(-F.log("tail")).alias("outlier"), F.min("tail").alias("least_tail"))
+    tails = exact_tails(long).groupBy("text_id").agg(F.sum(-F.log("tail")).alias("outlier"))
     return rows.join(tails.withColumnRenamed("text_id", "row"), "row").drop("row")
 
 
 def no_prose(texts: DataFrame) -> DataFrame:
     """(text_id, kind, outlier) of the texts that are no natural prose."""
-    likely = scored(texts).where(F.col("least_tail") <= MAX_TAIL)
     # first broken characters, then rows of cells, heaps and code, then items
     kind = (
         F.when(F.col("broken") >= 0.03, "junk")
@@ -257,7 +255,7 @@ def no_prose(texts: DataFrame) -> DataFrame:
         .when(F.col("heap") >= 0.5, "junk")
         .when(F.col("items") > 0.5, "list")
     )
-    return likely.select("text_id", kind.alias("kind"), "outlier").where("kind IS NOT NULL")
+    return scored(texts).select("text_id", kind.alias("kind"), "outlier").where("kind IS NOT NULL")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

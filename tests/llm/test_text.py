@@ -162,6 +162,13 @@ def test_kinds(spark):
     assert (s["word_count"], s["mean_word_length"], s["symbol_ratio"], s["line_end_share"], s["common_share"]) == (4, pytest.approx(7 / 4), pytest.approx(2 / 9), 0.5, 1.0)
 
 
+def test_copies_and_rare_languages_are_judged(spark):
+    """Texts of which every tail is high: nine tenths of a language's rows, and a language's only text."""
+    rows = [(i, "tha", "\ufffd" * 40) for i in range(90)] + [(100 + i, "tha", f"The {i} people of the town went to the market, and the day was over.") for i in range(10)] + [(200, "rus", "a\t1\t2\nb\t3\t4\nc\t5\t6")]
+    df = spark.createDataFrame(rows, "text_id long, lang string, texts string")
+    assert {(r["text_id"], r["kind"]) for r in P6.no_prose(df).collect()} == {(i, "junk") for i in range(90)} | {(200, "table")}
+
+
 # ---- leaks --------------------------------------------------------------------------------------------------------------
 
 
