@@ -222,6 +222,19 @@ def test_held_out_subjects():
     assert all(model.subjects(t) == [d] for d, t in (make(d) for d in "ab" * 20))
 
 
+def test_one_fit_at_every_size_without_copies():
+    """Few self-labelled texts teach their terms as many do, and copies of one count once."""
+    r = random.Random(6)
+    terms = {"a": ["alpha ray", "beta ray"], "b": ["gamma rule", "delta rule"]}
+    make = lambda d, more="": (d, " ".join(f"People of {r.choice('uvwxyz') * 4} saw the {r.choice(terms[d])} again{more}." for _ in range(4)))
+    examples = [make(d) for d in "ab" * 25]
+    texts = [make("a", " at the sigma lake")[1] for _ in range(8)]
+    few = P9.fit(examples, [], texts)
+    assert "sigma lake" in few.weights and "sigma lake" not in P9.fit(examples, [], []).weights
+    assert few.weights == P9.fit(examples, [], texts + [texts[0]] * 90 + [texts[0].upper()] * 9).weights
+    assert P9.fit(examples, [], []).weights == P9.Subjects(examples).weights
+
+
 def test_registered_queries_have_a_function():
     from corploom.llm import registry
 
