@@ -1,8 +1,8 @@
 """Problem 2: the main body of each page among menus, notices, teasers, comments and footers.
 
 Every line of a side is a block. A numpy bidirectional LSTM reads, for the whole sequence of blocks, one vector each: the
-block's path (leading and trailing marks, case, shape, length, place), hashed words (the first three and the last two), and
-document-wide context (words shared with the page's address and with its running text; whether the line stands on several
+block's path (leading and trailing marks, case, shape, length, place), hashed words (the first three and the last two by
+their place, and the sum of all words of the line), and document-wide context (words shared with the page's address and with its running text; whether the line stands on several
 addresses of the site). It gives each block the probability of body.
 
 Corpus-wide counts give the standing lines: (site, line) pairs on three or more pages, two or more addresses and 3 % of the
@@ -37,6 +37,8 @@ STANDING_LETTERS, STANDING_MOST = 20, 160
 FIT_PAGES, FIT_STEPS, FIT_BATCH = 1_500, 260, 64
 BUCKETS, WIDTH, HIDDEN = 4_096, 20, 16
 SLOTS = 5
+#: Blocks whose words are summed at once, and words of the longest line that can be the page's own heading.
+SUM_BLOCKS, HEADING_WORDS = 4_096, 16
 # Cue phrases of page furniture, English and French.
 CUES = re.compile(
     r"cookie|témoins|privacy|vie privée|confidentialité|rights reserved|droits réservés|terms of use|conditions d'utilisation|newsletter|infolettre|^follow us|^suivez-nous|^share this|^partager|"
@@ -103,29 +105,18 @@ def word_id(w: str) -> int:
     return i
 
 
-def _split_words(low: str) -> list[str]:
-    """Words between blanks; the first and the last three without the marks around them."""
-    words = low.split()
-    for i in {0, 1, 2, len(words) - 3, len(words) - 2, len(words) - 1}:
-        if 0 <= i < len(words):
-            m = _WORDS.search(words[i])
-            words[i] = m.group() if m else words[i]
-    return words
-
-
 DENSE = 30
 _shapes: dict[str, tuple] = {}
 
 
-def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str], int | None]:
-    """Of one line without its page: word ids, path features, words, is it a sentence, is it cut off, lead class, longer words, key. Kept by line."""
+def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str], int | None, bytes]:
+    """Of one line without its page: ids of the end words, path features, words, is it a sentence, is it cut off, lead class, longer words, key, ids of all words. Kept by line."""
     got = _shapes.get(line)
     if got is not None:
         return got
     s = line.strip()
     low = s.lower()
-    # long lines need their ends only; the words between serve as they are
-    words = _WORDS.findall(low) if len(s) <= 120 else _split_words(low)
+    words = _WORDS.findall(low)
     end = s[-24:]  # what a line ends in is looked for at its end only
     lead, tail = _LEAD.match(s), not s[-1:].isalnum() and _TAIL.search(end)
     kind = 0
@@ -139,7 +130,9 @@ def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str
     letters_low = s == low
     cut_off = ("…" in end or "..." in end) and bool(_CUT_OFF.search(end))
     sentence = n >= 5 and not s[-1:].isalnum() and bool(_SENTENCE_END.search(end)) and not cut_off
-    hashed = [word_id(words[0]), word_id(words[1]) if n > 1 else 0, word_id(words[2]) if n > 2 else 0, word_id(words[-1]), word_id(words[-2]) if n > 1 else 0] if n else [0] * SLOTS
+    known = _word_ids.get
+    every = [known(w) or word_id(w) for w in words]
+    hashed = [every[0], every[1] if n > 1 else 0, every[2] if n > 2 else 0, every[-1], every[-2] if n > 1 else 0] if n else [0] * SLOTS
     f = [0.0] * 22
     f[kind] = 1.0
     f[11] = 1.0 if tail else 0.0
@@ -154,7 +147,7 @@ def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str
     f[20] = 1.0 if len(s) > 180 else 0.0
     f[21] = 1.0 if " > " in s or " | " in s else 0.0
     key = key64(line) if STANDING_LETTERS <= len(line) <= 2 * STANDING_MOST else None
-    got = array("i", hashed).tobytes(), array("f", f).tobytes(), words, sentence, cut_off, kind, [w for w in words if len(w) > 3], key
+    got = array("i", hashed).tobytes(), array("f", f).tobytes(), words, sentence, cut_off, kind, [w for w in words if len(w) > 3], key, array("i", every).tobytes()
     if len(line) <= 120:
         if len(_shapes) > 40_000:
             _shapes.clear()
@@ -163,9 +156,9 @@ def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str
 
 
 class Page:
-    """The blocks of one side: line numbers, word ids (n, SLOTS), dense features (n, DENSE), and what the rules need."""
+    """The blocks of one side: line numbers, word ids (n, SLOTS), ids of all words one after the other and their number by block, dense features (n, DENSE), and what the rules need."""
 
-    __slots__ = ("numbers", "ids", "dense", "parts", "lines", "own", "named", "stands", "topic")
+    __slots__ = ("numbers", "ids", "words", "counts", "dense", "parts", "lines", "own", "named", "stands", "topic")
 
     def __init__(self, text: str, address: set[str], standing: set[int]) -> None:
         self.numbers, self.lines, self.parts = [], [], []
@@ -177,6 +170,8 @@ class Page:
         n = len(self.lines)
         parts = self.parts
         self.ids = np.frombuffer(b"".join([p[0] for p in parts]), np.int32).reshape(n, SLOTS)
+        self.words = np.frombuffer(b"".join([p[8] for p in parts]), np.int32)
+        self.counts = np.array([len(p[2]) for p in parts], np.int64)
         self.dense = np.zeros((n, DENSE), np.float32)
         if n:
             self.dense[:, :22] = np.frombuffer(b"".join([p[1] for p in parts]), np.float32).reshape(n, 22)
@@ -188,11 +183,11 @@ class Page:
         self.own, self.topic, self.named = np.zeros(n), np.zeros(n), np.zeros(n, bool)
         for k, p in enumerate(parts):
             words = p[2]
-            if words and len(words) <= 16:
+            if words:
                 if not address.isdisjoint(words):
                     shared = [w for w in words if w in address]
                     self.own[k] = len(shared) / len(words)
-                    if not p[3]:
+                    if not p[3] and len(words) <= HEADING_WORDS:
                         line = self.lines[k]
                         self.named[k] = any(len(w) > 4 and (w.capitalize() in line or w.upper() in line or line == line.lower()) for w in shared)
                 if not p[3] and not running.isdisjoint(p[6]):
@@ -263,6 +258,10 @@ def rule_labels(page: Page, often: set[str]) -> tuple[np.ndarray, np.ndarray]:
     return y, w
 
 
+#: Ids of all words block by block, the (time x batch) rows of the blocks that have words, and their numbers of words.
+Bag = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
 class BiLSTM:
     """Embeddings and dense features into a bidirectional LSTM with a logistic output; forward, backward and Adam in numpy."""
 
@@ -273,9 +272,19 @@ class BiLSTM:
         for k in "fb":
             self.p[f"w{k}"] = (r.randn(n + h, 4 * h) / np.sqrt(n + h)).astype(np.float32)
             self.p[f"b{k}"] = np.concatenate([np.zeros(h), np.ones(h), np.zeros(2 * h)]).astype(np.float32)
+        self.p["a"] = (r.randn(BUCKETS, n) * 0.1).astype(np.float32)
+        self.p["a"][0] = 0
 
-    def inputs(self, ids: np.ndarray, dense: np.ndarray) -> np.ndarray:
+    def inputs(self, ids: np.ndarray, dense: np.ndarray, bag: Bag | None = None) -> np.ndarray:
         x = dense @ self.p["d"]
+        if bag is not None and len(bag[0]):
+            # the vectors of all words of a block, over the root of their number
+            words, rows, counts = bag
+            starts, flat = np.cumsum(counts) - counts, x.reshape(-1, WIDTH)
+            for a in range(0, len(rows), SUM_BLOCKS):
+                first, n = starts[a], counts[a : a + SUM_BLOCKS]
+                sums = np.add.reduceat(self.p["a"][words[first : first + n.sum()]], starts[a : a + SUM_BLOCKS] - first, axis=0)
+                flat[rows[a : a + SUM_BLOCKS]] += sums / np.sqrt(n)[:, None].astype(np.float32)
         for s in range(SLOTS):
             x += self.p["e"][s][ids[..., s]]
         return np.tanh(x)
@@ -303,15 +312,15 @@ class BiLSTM:
             out[i] = h
         return out, kept
 
-    def forward(self, ids: np.ndarray, dense: np.ndarray, mask: np.ndarray, keep: bool = False):
-        x = self.inputs(ids, dense)
+    def forward(self, ids: np.ndarray, dense: np.ndarray, mask: np.ndarray, keep: bool = False, bag: Bag | None = None):
+        x = self.inputs(ids, dense, bag)
         hf, kf = self.run(x, mask, "f", keep)
         hb, kb = self.run(x, mask, "b", keep)
         feats = np.concatenate([hf, hb, x], axis=2)
         return feats @ self.p["o"] + self.p["ob"], (x, feats, kf, kb)
 
-    def gradients(self, ids: np.ndarray, dense: np.ndarray, mask: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, dict]:
-        z, (x, feats, kf, kb) = self.forward(ids, dense, mask, True)
+    def gradients(self, ids: np.ndarray, dense: np.ndarray, mask: np.ndarray, y: np.ndarray, w: np.ndarray, bag: Bag | None = None) -> tuple[float, dict]:
+        z, (x, feats, kf, kb) = self.forward(ids, dense, mask, True, bag)
         p = 1 / (1 + np.exp(-z))
         total = max(w.sum(), 1.0)
         loss = float((-(y * np.log(p + 1e-7) + (1 - y) * np.log(1 - p + 1e-7)) * w).sum() / total)
@@ -344,6 +353,13 @@ class BiLSTM:
             np.add.at(ge[s], ids[..., s].reshape(-1), flat)
         ge[:, 0] = 0
         g["e"] = ge
+        g["a"] = np.zeros_like(self.p["a"])
+        if bag is not None and len(bag[0]):
+            words, rows, counts = bag
+            each = np.repeat(flat[rows] / np.sqrt(counts)[:, None], counts, axis=0)
+            for k in range(WIDTH):
+                g["a"][:, k] = np.bincount(words, each[:, k], BUCKETS)
+            g["a"][0] = 0
         return loss, g
 
     def fit(self, pages: list[Page], labels: list[tuple[np.ndarray, np.ndarray]], steps: int = FIT_STEPS, rate: float = 0.01, seed: int = 3) -> "BiLSTM":
@@ -352,16 +368,17 @@ class BiLSTM:
         m, v = {k: np.zeros_like(x) for k, x in self.p.items()}, {k: np.zeros_like(x) for k, x in self.p.items()}
         for t in range(1, steps + 1):
             pick = r.randint(0, len(pages), FIT_BATCH)
-            ids, dense, mask = batch([pages[i] for i in pick])
+            ids, dense, mask, (words, rows, counts) = batch([pages[i] for i in pick])
             y, w = np.zeros(mask.shape, np.float32), np.zeros(mask.shape, np.float32)
             for j, i in enumerate(pick):
                 n = len(pages[i].lines)
                 y[:n, j], w[:n, j] = labels[i]
             # words are left out at random, so that shapes and context carry weight as well
             ids = ids * (r.rand(*ids.shape) > 0.15)
+            words = words * (r.rand(len(words)) > 0.15)
             hide = r.rand(FIT_BATCH) < 0.25
             dense[:, hide, 23:26] = 0.0
-            _, g = self.gradients(ids, dense, mask, y, w)
+            _, g = self.gradients(ids, dense, mask, y, w, (words, rows, counts))
             lr = rate * min(1.0, 2 * (1 - t / (steps + 1)) + 0.02)
             for k in self.p:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -375,20 +392,22 @@ class BiLSTM:
         order = sorted((i for i in range(len(pages)) if pages[i].lines), key=lambda i: len(pages[i].lines))
         for a in range(0, len(order), 256):
             part = order[a : a + 256]
-            z, _ = self.forward(*batch([pages[i] for i in part]))
+            ids, dense, mask, bag = batch([pages[i] for i in part])
+            z, _ = self.forward(ids, dense, mask, bag=bag)
             p = 1 / (1 + np.exp(-z))
             for j, i in enumerate(part):
                 out[i] = p[: len(pages[i].lines), j]
         return out
 
 
-def batch(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def batch(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, Bag]:
     t, b = max(len(p.lines) for p in pages), len(pages)
     ids, dense, mask = np.zeros((t, b, SLOTS), np.int64), np.zeros((t, b, DENSE), np.float32), np.zeros((t, b), np.float32)
     for j, p in enumerate(pages):
         n = len(p.lines)
         ids[:n, j], dense[:n, j], mask[:n, j] = p.ids, p.dense, 1.0
-    return ids, dense, mask
+    rows, counts = np.concatenate([np.arange(len(p.lines)) * b + j for j, p in enumerate(pages)]), np.concatenate([p.counts for p in pages])
+    return ids, dense, mask, (np.concatenate([p.words for p in pages]), rows[counts > 0], counts[counts > 0])
 
 
 def chunks(batches: Iterator[pd.DataFrame], rows: int = 512) -> Iterator[pd.DataFrame]:

@@ -29,6 +29,29 @@ def test_gradients_are_right():
         assert g[k][at] == pytest.approx((up - down) / (2 * eps), rel=2e-2, abs=2e-5), k
 
 
+def test_whole_lines_are_read():
+    """Two long lines with the same ends and shape differ by the words between; their gradient is right."""
+    long = "The people of the town say that {} is {} for them all, " + "and that it was so in the years before, " * 3 + "as they know."
+    page = lambda a, b: P2.Page("Home\n" + long.format(a, b), set(), set())
+    net = P2.BiLSTM()
+    one, two = net.label([page("cookies", "consent")])[0], net.label([page("rivers", "flooded")])[0]
+    assert abs(one[1] - two[1]) > 1e-6
+    assert P2.shape(long.format("rivers", "flooded"))[2][7:10] == ["rivers", "is", "flooded"] and "all" in P2.shape(long)[2]
+    pages, labels = [page("cookies", "consent"), page("rivers", "flooded")], [(np.zeros(2), np.ones(2)), (np.array([0.0, 1.0]), np.ones(2))]
+    got = net.fit(pages, labels, steps=60).label(pages)
+    assert got[0][1] < 0.2 and got[1][1] > 0.8
+    net = P2.BiLSTM()
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    ids, dense, mask, bag = P2.batch(pages)
+    y, w, at, eps = np.array([[0.0, 0.0], [0.0, 1.0]]), np.ones((2, 2)), (P2.word_id("rivers"), 3), 1e-4
+    _, g = net.gradients(ids, dense.astype(np.float64), mask, y, w, bag)
+    net.p["a"][at] += eps
+    up, _ = net.gradients(ids, dense.astype(np.float64), mask, y, w, bag)
+    net.p["a"][at] -= 2 * eps
+    down, _ = net.gradients(ids, dense.astype(np.float64), mask, y, w, bag)
+    assert g["a"][at] == pytest.approx((up - down) / (2 * eps), rel=2e-2, abs=2e-5)
+
+
 def make_pages(n: int) -> pd.DataFrame:
     r = random.Random(3)
     names = [a + b + c for a in "bdfgk" for b in ("amo", "iru", "ola") for c in ("dex", "nil", "ruk")]
