@@ -32,8 +32,8 @@ from corploom.operators.skew import hash_sample
 from corploom.session import cut, table
 
 STANDING_PAGES, STANDING_SHARE = 3, 0.03
-#: Letters of a standing line: shorter ones are known by their words, longer ones are paragraphs of several sentences.
-STANDING_LETTERS, STANDING_MOST = 20, 160
+#: Letters of a standing line at least: shorter ones are known by their words.
+STANDING_LETTERS = 20
 FIT_PAGES, FIT_STEPS, FIT_BATCH = 1_500, 260, 64
 BUCKETS, WIDTH, HIDDEN = 4_096, 20, 16
 SLOTS = 5
@@ -67,9 +67,9 @@ def letters(line: str) -> str:
 
 
 def key64(line: str) -> int | None:
-    """The line's letters as Spark's (signed) xxhash64; null outside the lengths of standing lines."""
+    """The line's letters as Spark's (signed) xxhash64; null if the line is too short to stand."""
     k = letters(line)
-    if not STANDING_LETTERS <= len(k) <= STANDING_MOST:
+    if len(k) < STANDING_LETTERS:
         return None
     h = xxhash.xxh64(k.encode(), seed=42).intdigest()
     return h - (1 << 64) if h >= 1 << 63 else h
@@ -83,11 +83,13 @@ def page_path(url: Column) -> Column:
 
 def site_standing(pages: DataFrame) -> DataFrame:
     """(site, standing array<long>): hashes of the lines that stand on the site's pages, of either side."""
-    sides = [pages.select(site_of(F.coalesce(F.col(u), F.col(v))).alias("site"), F.xxhash64(page_path(F.col(u))).alias("address"), F.col(t).alias("text")) for u, v, t in (("src_url", "tgt_url", "src_content"), ("tgt_url", "src_url", "tgt_content"))]
+    # both sides of a page are one address, so that untranslated copies that are crawled again don't stand
+    address = F.xxhash64(F.least(page_path(F.col("src_url")), page_path(F.col("tgt_url"))))
+    sides = [pages.select(site_of(F.coalesce(F.col(u), F.col(v))).alias("site"), address.alias("address"), F.col(t).alias("text")) for u, v, t in (("src_url", "tgt_url", "src_content"), ("tgt_url", "src_url", "tgt_content"))]
     whole = sides[0].unionByName(sides[1]).where("site IS NOT NULL AND text IS NOT NULL AND text <> ''")
     sizes = whole.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
     # the letters of the whole text, line by line, then the keys of the page's different lines
-    lines = F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\n]+", ""), "\n"), lambda x: F.length(x).between(STANDING_LETTERS, STANDING_MOST)))
+    lines = F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\n]+", ""), "\n"), lambda x: F.length(x) >= STANDING_LETTERS))
     keys = whole.select("site", "address", F.explode(lines).alias("letters")).select("site", "address", F.xxhash64("letters").alias("key"))
     counts = keys.groupBy("site", "key").agg(F.count(F.lit(1)).alias("pages"), F.min("address").alias("a"), F.max("address").alias("b")).where((F.col("pages") >= STANDING_PAGES) & (F.col("a") != F.col("b")))
     return counts.join(sizes, "site").where(F.col("pages") >= STANDING_SHARE * F.col("n")).groupBy("site").agg(F.collect_list("key").alias("standing"))
@@ -146,7 +148,7 @@ def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str
     f[19] = 1.0 if _DIGIT.search(s) else 0.0
     f[20] = 1.0 if len(s) > 180 else 0.0
     f[21] = 1.0 if " > " in s or " | " in s else 0.0
-    key = key64(line) if STANDING_LETTERS <= len(line) <= 2 * STANDING_MOST else None
+    key = key64(line) if len(line) >= STANDING_LETTERS else None
     got = array("i", hashed).tobytes(), array("f", f).tobytes(), words, sentence, cut_off, kind, [w for w in words if len(w) > 3], key, array("i", every).tobytes()
     if len(line) <= 120:
         if len(_shapes) > 40_000:

@@ -80,6 +80,18 @@ def test_page_bodies(spark):
     assert P2.label_pages(spark.createDataFrame(rows, schema).limit(0)).count() == 0
 
 
+def test_long_notices_stand(spark):
+    notice = "This site keeps small files on your machine to count its visits, " * 5 + "as the law allows."
+    schema = "src_url string, src_content string, tgt_url string, tgt_content string"
+    rows = [(f"http://s.example/en/{x}", f"Own line of page {x}\n{notice}", None, None) for x in ("one", "two", "three", "four")]
+    assert [set(r["standing"]) for r in P2.site_standing(spark.createDataFrame(rows, schema)).collect()] == [{P2.key64(notice)}] and P2.key64(notice) is not None
+    # pages of one address crawled again don't make a paragraph stand
+    both = (rows[0][0], rows[0][1], "http://s.example/fr/un", rows[0][1])
+    assert P2.site_standing(spark.createDataFrame([rows[0]] * 4, schema)).count() == 0
+    assert P2.site_standing(spark.createDataFrame([both] * 2, schema)).count() == 0
+    assert P2.Page(rows[0][1], set(), {P2.key64(notice)}).stands.tolist() == [False, True]
+
+
 # ---- sentences ----------------------------------------------------------------------------------------------------------
 
 PROSE = [
