@@ -207,7 +207,7 @@ def test_copies_and_rare_languages_are_judged(spark):
 # ---- leaks --------------------------------------------------------------------------------------------------------------
 
 
-def test_leaks_against_brute_force(spark):
+def test_leaks_against_brute_force(spark, monkeypatch):
     r = random.Random(9)
     vocab = [a + b for a in ("ba", "ko", "mi", "ru", "te", "sa") for b in ("lon", "dar", "fix", "gum", "pel")] + ["the", "of", "and"]
     items = [(i, " ".join(r.choices(vocab, k=r.randint(20, 40)))) for i in range(8)]
@@ -229,11 +229,44 @@ def test_leaks_against_brute_force(spark):
     df = spark.createDataFrame([(d, t, "clash") for d, t, _ in docs] + [(900, None, ""), (901, "", "")], "doc_id long, text string, item_id string")
     ev = spark.createDataFrame(items + [(99, None), (98, "")], "item_id long, text string")
     want = {(d, i) for d, _, i in docs if i is not None}
-    for block in (P8.ITEM_BLOCK, 3):
-        assert {tuple(x) for x in P8.find_leaks(df, ev, block=block).collect()} == want
+    assert {tuple(x) for x in P8.find_leaks(df, ev).collect()} == want
+    # without any broadcast
+    monkeypatch.setattr(P8, "SMALL_ROWS", -1)
+    assert {tuple(x) for x in P8.find_leaks(df, ev).collect()} == want
     assert P8.find_leaks(df.limit(0), ev).count() == 0 and P8.find_leaks(df, ev.limit(0)).count() == 0
 
 
+def test_prefix_is_necessary_and_short():
+    """Whatever words are changed, a half with as many as stated keeps a prefix token."""
+    r = random.Random(4)
+    shares = []
+    for n in (10, 11, 23, 24, 37, 60, 95):
+        half = P8.half_of(n)
+        for _ in range(5):
+            places = set(P8.prefix_places([r.randint(0, 30) for _ in range(n - 4)]))
+            if n > 30:
+                shares.append(len(places) / (n - 4))
+            for _ in range(200):
+                a = r.randint(0, n - half)
+                changed = set(r.sample(range(a, a + half), max(0, min(half // P8.CHANGED_IN, half // 5 - 1))))
+                assert any(p >= a and p + 5 <= a + half and changed.isdisjoint(range(p, p + 5)) for p in places)
+    assert sum(shares) / len(shares) < 0.4
+
+
+def test_short_and_changed_items(spark):
+    ev = spark.createDataFrame([(1, "Grain!"), (2, "one two"), (3, "red green blue black white pink"), (4, " ".join(f"w{i}" for i in range(30))), (5, "red, green; blue black white pink")], "item_id int, text string")
+    docs = [
+        (1, "much grain here"), (2, "two"), (3, "red green black white"), (4, "blue, BLACK\nwhite"),
+        (5, " ".join(f"w{i}" if i != 9 else "x" for i in range(2, 19))),  # one changed word
+        (6, " ".join(f"w{i}" if i % 3 else "x" for i in range(30))),  # too many
+        (7, " ".join(f"w{i}" for i in range(13))),  # less than half
+        (8, " ".join(["w1", "w2", "w3", "w4", "w5", "w6", "new", *(f"w{i}" for i in range(7, 18))])),  # an added word
+        (None, "grain"),
+    ]
+    got = {tuple(x) for x in P8.find_leaks(spark.createDataFrame(docs, "doc_id int, text string"), ev).collect()}
+    assert got == {(1, 1), (2, 2), (4, 3), (4, 5), (5, 4), (8, 4)}
+
+
 # ---- subjects -----------------------------------------------------------------------------------------------------------
 
 
