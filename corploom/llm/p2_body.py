@@ -6,8 +6,8 @@ their place, and the sum of all words of the line), and document-wide context (w
 addresses of the site). It gives each block the probability of body.
 
 Corpus-wide counts give the standing lines: (site, line) pairs on three or more pages, two or more addresses and 3 % of the
-site's pages; as a page has few lines, a site has at most lines-per-page / 0.03 of them, and pages get them by a join on the
-site. The network is fitted on at most ``FIT_PAGES`` pages (by hash of the id; a documented bound), labelled by rules for
+site's pages; as a page has few lines, a site has at most lines-per-page / 0.03 of them. Pages get them by a broadcast if
+their counted number is small, so that texts stay where they are; else big sites by a broadcast, the others by a shuffle. The network is fitted on at most ``FIT_PAGES`` pages (by hash of the id; a documented bound), labelled by rules for
 clear cases only (cue phrases, recurring lines, full sentences, the page's own heading); unclear lines carry little weight.
 
 Null and empty sides have no body; blank lines are counted but never labelled. Rows with null urls belong to no site and
@@ -28,12 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corploom.llm.p1_lines import site_of
-from corploom.operators.skew import hash_sample
+from corploom.operators.skew import hash_sample, hot_limit
 from corploom.session import cut, table
 
 STANDING_PAGES, STANDING_SHARE = 3, 0.03
 #: Letters of a standing line at least: shorter ones are known by their words.
 STANDING_LETTERS = 20
+#: So many keys of standing lines in all may be broadcast (8 bytes each).
+SMALL_KEYS = 2_000_000
 FIT_PAGES, FIT_STEPS, FIT_BATCH = 1_500, 260, 64
 BUCKETS, WIDTH, HIDDEN = 4_096, 20, 16
 SLOTS = 5
@@ -52,11 +54,10 @@ COMMENT = re.compile(r"^\W*[\w'’.-]+(?: [\w'’.-]+)?\s*(?:@\s*\d|says\s*:|sai
 BYLINE = re.compile(r"^reading time|^temps de lecture|^last updated|^dernière mise à jour|^published by|^publié par|^translated by|^traduit par|^by the .* desk|^par la rédaction")
 #: A speaker before a whole sentence.
 SPEAKER = re.compile(r"^\W*[^\W\d_][\w'’-]+\s?:\s")
-_CUT_OFF = re.compile(r"(?:…|\.\.\.|\[\s*(?:…|\.\.\.)\s*\])\s*(?:read more|lire la suite)?\W*$", re.I)
 _SENTENCE_END = re.compile(r"[.!?]['\"”’»)\]*\s]*$")
 _WORDS = re.compile(r"[^\W_]+")
 _LEAD = re.compile(r"^\s*([^\w\s\"'“«(]+|\d{1,3}[.)]|[a-z][.)](?=\s))")
-_TAIL = re.compile(r"([^\w\s\"'”»).!?%]+)\s*$")
+_PLAIN_ENDS = set("_\"'”»).!?%")
 _DIGIT = re.compile(r"\d")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 LEADS = {"→": 1, "»": 1, ">": 1, "+": 1, "↳": 2, "*": 3, "-": 4, "–": 4, "—": 4, "•": 5, "|": 6, "[": 6, "©": 7}
@@ -68,10 +69,13 @@ def letters(line: str) -> str:
 
 def key64(line: str) -> int | None:
     """The line's letters as Spark's (signed) xxhash64; null if the line is too short to stand."""
-    k = letters(line)
+    return letters_key(letters(line))
+
+
+def letters_key(k: str) -> int | None:
     if len(k) < STANDING_LETTERS:
         return None
-    h = xxhash.xxh64(k.encode(), seed=42).intdigest()
+    h = xxhash.xxh64_intdigest(k.encode(), seed=42)
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
@@ -82,17 +86,17 @@ def page_path(url: Column) -> Column:
 
 
 def site_standing(pages: DataFrame) -> DataFrame:
-    """(site, standing array<long>): hashes of the lines that stand on the site's pages, of either side."""
+    """(site, n, standing array<long>): number of the site's sides, and hashes of the lines that stand on them; sites with such lines only."""
     # both sides of a page are one address, so that untranslated copies that are crawled again don't stand
     address = F.xxhash64(F.least(page_path(F.col("src_url")), page_path(F.col("tgt_url"))))
     sides = [pages.select(site_of(F.coalesce(F.col(u), F.col(v))).alias("site"), address.alias("address"), F.col(t).alias("text")) for u, v, t in (("src_url", "tgt_url", "src_content"), ("tgt_url", "src_url", "tgt_content"))]
     whole = sides[0].unionByName(sides[1]).where("site IS NOT NULL AND text IS NOT NULL AND text <> ''")
     sizes = whole.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
     # the letters of the whole text, line by line, then the keys of the page's different lines
-    lines = F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\n]+", ""), "\n"), lambda x: F.length(x) >= STANDING_LETTERS))
-    keys = whole.select("site", "address", F.explode(lines).alias("letters")).select("site", "address", F.xxhash64("letters").alias("key"))
+    lines = F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\n]+", ""), "\n"), lambda x: F.length(x) >= STANDING_LETTERS)
+    keys = whole.select("site", "address", F.explode(F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))).alias("key"))
     counts = keys.groupBy("site", "key").agg(F.count(F.lit(1)).alias("pages"), F.min("address").alias("a"), F.max("address").alias("b")).where((F.col("pages") >= STANDING_PAGES) & (F.col("a") != F.col("b")))
-    return counts.join(sizes, "site").where(F.col("pages") >= STANDING_SHARE * F.col("n")).groupBy("site").agg(F.collect_list("key").alias("standing"))
+    return counts.join(sizes, "site").where(F.col("pages") >= STANDING_SHARE * F.col("n")).groupBy("site").agg(F.first("n").alias("n"), F.collect_list("key").alias("standing"))
 
 
 _word_ids: dict[str, int] = {}
@@ -111,16 +115,30 @@ DENSE = 30
 _shapes: dict[str, tuple] = {}
 
 
+def cut_off_end(s: str, words: list[str], ending: str, k: int) -> bool:
+    """Whether a line breaks off in an ellipsis, perhaps before a link to the rest; ``ending`` is what follows its last letter or digit at ``k``."""
+    if "…" in ending or "..." in ending:
+        return True
+    if not words or words[-1] not in ("more", "suite"):
+        return False
+    phrase = next((x for x in ("read more", "lire la suite") if s[:k].lower().endswith(x)), None)
+    before = s[: k - len(phrase)].rstrip() if phrase else ""
+    return before.endswith(("…", "...")) or before.endswith("]") and before[:-1].rstrip().endswith(("…", "..."))
+
+
 def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str], int | None, bytes]:
-    """Of one line without its page: ids of the end words, path features, words, is it a sentence, is it cut off, lead class, longer words, key, ids of all words. Kept by line."""
+    """Of one line without its page: ids of the end words, path features, words, is it a sentence, is it cut off, lead class, longer words (of no sentence), key, ids of all words. Kept by line."""
     got = _shapes.get(line)
     if got is not None:
         return got
     s = line.strip()
     low = s.lower()
     words = _WORDS.findall(low)
-    end = s[-24:]  # what a line ends in is looked for at its end only
-    lead, tail = _LEAD.match(s), not s[-1:].isalnum() and _TAIL.search(end)
+    k = len(s)
+    while k and not s[k - 1].isalnum():
+        k -= 1
+    ending = s[k:]
+    lead = None if s[:1].isalpha() and s[1:2] not in (".", ")") else _LEAD.match(s)
     kind = 0
     if lead:
         mark = lead.group(1)
@@ -128,29 +146,31 @@ def shape(line: str) -> tuple[bytes, bytes, list[str], bool, bool, int, list[str
         if kind == 3 and s.endswith("*"):
             kind = 10
     n = len(words)
-    caps = s.isupper()
-    letters_low = s == low
-    cut_off = ("…" in end or "..." in end) and bool(_CUT_OFF.search(end))
-    sentence = n >= 5 and not s[-1:].isalnum() and bool(_SENTENCE_END.search(end)) and not cut_off
-    known = _word_ids.get
-    every = [known(w) or word_id(w) for w in words]
+    cut_off = cut_off_end(s, words, ending, k)
+    sentence = n >= 5 and not cut_off and bool(ending and _SENTENCE_END.search(ending))
+    every = list(map(_word_ids.get, words))
+    if None in every:
+        every = list(map(word_id, words))
     hashed = [every[0], every[1] if n > 1 else 0, every[2] if n > 2 else 0, every[-1], every[-2] if n > 1 else 0] if n else [0] * SLOTS
+    digits = bool(_DIGIT.search(s))
     f = [0.0] * 22
     f[kind] = 1.0
-    f[11] = 1.0 if tail else 0.0
+    f[11] = 1.0 if ending and ending[-1] not in _PLAIN_ENDS else 0.0
     f[12] = min(n, 40) / 20
     f[13] = 1.0 if n >= 8 else 0.0
     f[14] = 1.0 if sentence else 0.0
     f[15] = 1.0 if cut_off else 0.0
-    f[16] = 1.0 if caps else 0.0
-    f[17] = 1.0 if letters_low else 0.0
+    f[16] = 1.0 if s.isupper() else 0.0
+    f[17] = 1.0 if s == low else 0.0
     f[18] = 1.0 if ":" in s else 0.0
-    f[19] = 1.0 if _DIGIT.search(s) else 0.0
+    f[19] = 1.0 if digits else 0.0
     f[20] = 1.0 if len(s) > 180 else 0.0
     f[21] = 1.0 if " > " in s or " | " in s else 0.0
-    key = key64(line) if len(line) >= STANDING_LETTERS else None
-    got = array("i", hashed).tobytes(), array("f", f).tobytes(), words, sentence, cut_off, kind, [w for w in words if len(w) > 3], key, array("i", every).tobytes()
-    if len(line) <= 120:
+    # the words are runs of letters and digits, so without the digits they are the line's letters
+    joined = "".join(words)
+    key = letters_key(_DIGIT.sub("", joined) if digits else joined) if len(joined) >= STANDING_LETTERS else None
+    got = array("i", hashed).tobytes(), array("f", f).tobytes(), words, sentence, cut_off, kind, () if sentence else [w for w in words if len(w) > 3], key, array("i", every).tobytes()
+    if len(line) <= 120:  # of longer lines the shape is made anew each time: few of them recur
         if len(_shapes) > 40_000:
             _shapes.clear()
         _shapes[line] = got
@@ -181,7 +201,7 @@ class Page:
         running: set[str] = set()
         for p, stands in zip(parts, self.stands.tolist()):
             if p[3] and not stands:
-                running.update(p[6])
+                running.update(p[2])
         self.own, self.topic, self.named = np.zeros(n), np.zeros(n), np.zeros(n, bool)
         for k, p in enumerate(parts):
             words = p[2]
@@ -447,21 +467,34 @@ def fit_labeller(sample: pd.DataFrame) -> BiLSTM:
 COLUMNS = ["src_url", "src_content", "tgt_url", "tgt_content"]
 
 
-def with_standing(pages: DataFrame, id_col: str = "crawl_id") -> DataFrame:
-    """(id, urls, contents, site, standing) of every page."""
-    standing = cut(site_standing(pages))
-    return pages.select(F.col(id_col).alias("crawl_id"), *COLUMNS, site_of(F.coalesce("src_url", "tgt_url")).alias("site")).join(standing, "site", "left")
+class Standing:
+    """The standing lines of all sites, and how pages get those of their site."""
+
+    def __init__(self, pages: DataFrame) -> None:
+        self.table = cut(site_standing(pages))
+        self.keys, self.sides = self.table.agg(F.coalesce(F.sum(F.size("standing")), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+
+    def of(self, pages: DataFrame, id_col: str = "crawl_id") -> DataFrame:
+        """(crawl_id, urls, contents, site, standing) of every page. The texts stay where they are if the counted keys are few; else only those of small sites are shuffled."""
+        rows = pages.select(F.col(id_col).alias("crawl_id"), *COLUMNS, site_of(F.coalesce("src_url", "tgt_url")).alias("site"))
+        lines = self.table.select("site", "standing")
+        if self.keys <= SMALL_KEYS:
+            return rows.join(F.broadcast(lines), "site", "left")
+        hot = F.broadcast(lines.join(self.table.where(F.col("n") >= hot_limit(self.sides)).select("site"), "site"))
+        cold = rows.where("site IS NOT NULL").join(hot.select("site"), "site", "left_anti").join(lines, "site", "left")
+        none = rows.where("site IS NULL").withColumn("standing", F.lit(None).cast("array<long>"))
+        return rows.join(hot, "site").unionByName(cold).unionByName(none)
 
 
-def train(pages: DataFrame) -> BiLSTM:
-    """``pages`` as from with_standing."""
-    return fit_labeller(hash_sample(pages, "crawl_id", FIT_PAGES).toPandas().sort_values("crawl_id", kind="stable", ignore_index=True))
+def fit_sample(pages: DataFrame, standing: Standing, id_col: str = "crawl_id") -> pd.DataFrame:
+    """The bounded sample of the fits, in the order of the ids."""
+    return standing.of(hash_sample(pages, id_col, FIT_PAGES), id_col).toPandas().sort_values("crawl_id", kind="stable", ignore_index=True)
 
 
 def label_pages(pages: DataFrame, id_col: str = "crawl_id") -> DataFrame:
     """(crawl_id, side, line_no) of every body line."""
-    rows = with_standing(pages, id_col)
-    net = pages.sparkSession.sparkContext.broadcast(train(rows))
+    standing = Standing(pages)
+    net = pages.sparkSession.sparkContext.broadcast(fit_labeller(fit_sample(pages, standing, id_col)))
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in chunks(batches):
@@ -470,7 +503,7 @@ def label_pages(pages: DataFrame, id_col: str = "crawl_id") -> DataFrame:
             out = [(ids[i], side, p.numbers[k]) for (i, side, p), probs in zip(sides, net.value.label([p for _, _, p in sides])) for k in np.nonzero(probs >= 0.5)[0].tolist()]
             yield pd.DataFrame({"crawl_id": pd.Series([x[0] for x in out], dtype="int64"), "side": pd.Series([x[1] for x in out], dtype="object"), "line_no": pd.Series([x[2] for x in out], dtype="int32")})
 
-    return rows.mapInPandas(label, "crawl_id long, side string, line_no int")
+    return standing.of(pages, id_col).mapInPandas(label, "crawl_id long, side string, line_no int")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,16 +159,50 @@ def test_alignment_with_reordering_omission_and_merge():
 
     aligner = P5.Aligner([pair() for _ in range(400)])
     ps = [pair() for _ in range(6)]
-    side = lambda ws: type("S", (), {"words": ws})()
+    side = lambda ws: type("S", (), {"words": ws, "lengths": [len(" ".join(u)) for u in ws]})()
     a = side([p[0] for p in ps])
     b = side([ps[1][1], ps[0][1], ps[2][1] + ps[3][1], ps[5][1]])
     assert sorted(aligner.pairs(a, b)) == [(0, 1), (1, 0), (2, 2), (3, 2), (5, 3)]
+    # pages are scored together as they are alone
+    assert aligner.pairs_of([(a, b), (side([]), b), (a, b)]) == [aligner.pairs(a, b), [], aligner.pairs(a, b)]
     other = side([pair()[1] for _ in range(6)])
     assert aligner.pairs(a, other) == [] and aligner.pairs(side([]), b) == []
     beads, cost = P5.by_length([50, 20, 80], [55, 22, 85])
     assert beads == [(0, 0), (1, 1), (2, 2)] and cost < 3
 
 
+def test_the_path_decides():
+    """A pair too weak for the step out of order is found on the monotone path; of two alike, the one on the path."""
+    aligner = P5.Aligner([])
+    s = np.array([[0.9, 0.0, 0.0], [0.0, 0.5, 0.0], [0.0, 0.0, 0.9]])
+    assert aligner.path(s, [10, 10, 10], [10, 10, 10]) == [(0, 0), (1, 1), (2, 2)]
+    assert aligner.choose(s, s, [10] * 3, [10] * 3) == [(0, 0), (1, 1), (2, 2)]
+    s[1, 1], s[0, 1] = 0.5, 0.5  # its French unit is as much like another one
+    assert (1, 1) in aligner.choose(s, s, [10] * 3, [10] * 3)
+    swapped = np.array([[0.0, 0.5], [0.5, 0.0]])
+    assert len(aligner.choose(swapped, swapped, [10] * 2, [10] * 2)) == 1
+
+
+def test_standing_lines_by_shuffle(spark, monkeypatch):
+    pdf = make_pages(60)
+    schema = "crawl_id long, src_url string, src_content string, tgt_url string, tgt_content string"
+    pages = spark.createDataFrame([tuple(x) for x in pdf.iloc[:, :5].itertuples(index=False)] + [(900, None, "x", None, None), (901, "http://other.example", "y", None, None)], schema)
+    standing = P2.Standing(pages)
+    key = lambda rows: sorted((r["crawl_id"], sorted(r["standing"] or [])) for r in rows)
+    small = key(standing.of(pages).collect())
+    assert len(small) == 62 and sum(bool(s) for _, s in small) == 60
+    monkeypatch.setattr(P2, "SMALL_KEYS", -1)
+    for limit in (1, 10**9):
+        monkeypatch.setattr(P2, "hot_limit", lambda n, limit=limit: limit)
+        assert key(standing.of(pages).collect()) == small
+
+
+def test_cut_off_lines_of_any_length():
+    for end, cut in (("... read more", True), ("[…] lire la suite »", True), ("…" + " " * 40 + "»", True), ("read more", False), ("." + "»" * 30, False)):
+        assert P2.shape("A long line of words that goes on " + end)[4] == cut
+    assert P2.shape("This is a whole sentence of words." + "»" * 30)[3]
+
+
 # ---- quality ------------------------------------------------------------------------------------------------------------
 
 
