@@ -2,12 +2,15 @@
 
 Five statistics of every text are built-in expressions (word count, mean word length, symbol ratio, share of lines that end
 in punctuation, share of words that are among the ``COMMON`` most frequent ones of the language over all texts); five more
-measure cells, items, broken characters, code and heaped or repeated words. Each statistic is ranked exactly within its
-language: the long table is range-partitioned by (statistic, language, value, id) and written; one small summary a partition
-gives the offsets, also of ties that run over several partitions; each partition then ranks its own rows. So no partition
-needs to hold a language or a hot value. The empirical tail probabilities (in the direction that is abnormal) are combined
-into an outlier score, the sum of -ln. Tails are relative (the copies of a frequent text, or a rare language's only text,
-have high ones), so they leave no text out: of every text the shares of its lines decide the kind: list, table or junk.
+measure cells, items, broken characters, code and heaped or repeated words. The ten are ranked exactly within their
+language, over its different texts, so that copies can't hide themselves: the different values, counted before any shuffle,
+are range-partitioned by (statistic, language, value) and sorted; sums by partition give the offsets, and each partition adds
+up its own counts. So no partition needs to hold a language or a hot value.
+
+The outlier score of a text is the sum of -ln of its ten empirical tail probabilities, each in its abnormal direction; with
+every language go ``PRIOR_TEXTS`` plain texts, which decide only where it has hardly any. A text is no prose if the share of
+its lines (characters, words) that are of a kind, times the outlier score, is ``LEAST_SCORE`` or more: half a list among
+outstanding lines counts as much as a whole one among common ones. Broken characters count whole from ``BROKEN_WHOLE`` on.
 
 Null and blank texts have no row among the found; their statistics are null (count 0). A null language is a language of its
 own. Repeated rows are treated each; tied values share their rank. Empty tables give empty results.
@@ -15,56 +18,63 @@ own. Repeated rows are treated each; tied values share their rank. Empty tables
 
 from __future__ import annotations
 
+import functools
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from corploom.operators.skew import hot_key_join
 from corploom.session import cut, table
 
-COMMON, LANGUAGES = 30, 64
-ROWS_A_PARTITION = 500_000
+COMMON = 30
+#: Different values of a range partition, and rows of a counted table that may be broadcast.
+ROWS_A_PARTITION, SMALL_ROWS = 500_000, 100_000
+#: Plain texts that go with every language, the score from which a text is no prose, and the share of broken characters that counts whole.
+PRIOR_TEXTS, LEAST_SCORE, BROKEN_WHOLE = 50, 3.0, 0.06
 WORDS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]+"
 ENDS = r"[.!?…。！？؟।．\"”»’)\]」』]\s*$"
 #: Statistic -> whether high values are the abnormal ones.
-DIRECTIONS = {"mean_word_length": True, "symbol_ratio": True, "line_end_share": False, "common_share": False, "cells": True, "items": True, "broken": True, "code": True, "heap": True}
+DIRECTIONS = {"word_count": False, "mean_word_length": True, "symbol_ratio": True, "line_end_share": False, "common_share": False, "cells": True, "items": True, "broken": True, "code": True, "heap": True}
+#: Of these a plain text has none.
+KINDS = ("cells", "items", "broken", "code", "heap")
 
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0))
 
 
-def common_words(texts: DataFrame) -> list[tuple[str, list[str]]]:
-    """The most frequent words of each of the most frequent languages, over all texts; at most LANGUAGES x COMMON words."""
-    from pyspark.sql import Window
+def small(df: DataFrame) -> DataFrame:
+    """A written frame, marked for broadcast if it was counted and is small."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
 
-    counts = texts.select(F.coalesce("lang", F.lit("")).alias("lang"), F.explode(words_of(F.col("texts"))).alias("word")).groupBy("lang", "word").count()
-    langs = counts.groupBy("lang").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
+def common_words(texts: DataFrame) -> DataFrame:
+    """(key, common array<string>): the most frequent words of each language, over all texts."""
+    counts = texts.select(F.coalesce("lang", F.lit("")).alias("key"), F.explode(words_of(F.col("texts"))).alias("word")).groupBy("key", "word").count()
     # ties are broken by the word, so that the list is the same every time
-    top = counts.join(F.broadcast(langs), "lang").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("r") <= COMMON)
-    return [(r[0], sorted(r[1])) for r in top.groupBy("lang").agg(F.collect_list("word")).orderBy("lang").collect()]
+    top = counts.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("count"), "word"))).where(F.col("r") <= COMMON)
+    return top.groupBy("key").agg(F.array_sort(F.collect_list("word")).alias("common"))
 
 
 def statistics(texts: DataFrame) -> DataFrame:
     """(text_id, lang, texts, word_count, mean_word_length, symbol_ratio, line_end_share, common_share)."""
-    common = F.create_map(*[x for lang, ws in common_words(texts) for x in (F.lit(lang), F.array(*map(F.lit, ws)))]) if texts.head(1) else None
     words = words_of(F.col("texts"))
     n = F.size("words")
     lines = F.filter(F.split("texts", "\n"), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " ")) != "")
     visible = F.length(F.regexp_replace("texts", r"(?U)\s+", ""))
     symbols = F.length(F.regexp_replace("texts", r"(?U)[\p{L}\p{M}\p{N}\s]+", ""))
-    frequent = F.coalesce(F.try_element_at(common, F.coalesce("lang", F.lit(""))), F.array().cast("array<string>")) if common is not None else F.array().cast("array<string>")
+    known = texts.withColumn("key", F.coalesce("lang", F.lit(""))).join(small(cut(common_words(texts))), "key", "left")
     return (
-        texts.select("text_id", "lang", "texts", words.alias("words"), lines.alias("lines"))
+        known.select("text_id", "lang", "texts", F.coalesce("common", F.array().cast("array<string>")).alias("common"), words.alias("words"), lines.alias("lines"))
         .select(
             "text_id", "lang", "texts", F.greatest(n, F.lit(0)).alias("word_count"),
             F.when(n > 0, F.aggregate("words", F.lit(0), lambda s, w: s + F.length(w)) / n).alias("mean_word_length"),
             F.when(visible > 0, symbols / visible).alias("symbol_ratio"),
             F.when(F.size("lines") > 0, F.size(F.filter("lines", lambda x: x.rlike(ENDS))) / F.size("lines")).alias("line_end_share"),
-            F.when(n > 0, F.size(F.filter("words", lambda w: F.array_contains(frequent, w))) / n).alias("common_share"),
+            F.when(n > 0, F.size(F.filter("words", lambda w: F.array_contains("common", w))) / n).alias("common_share"),
         )
     )
 
@@ -164,64 +174,35 @@ def shape(text: str) -> tuple[float, float, float, float, float]:
     return cells, items / n, min(1.0, broken), code, heap
 
 
-def exact_tails(long: DataFrame, directions: dict[str, bool] = DIRECTIONS, rows_a_partition: int = ROWS_A_PARTITION) -> DataFrame:
-    """(text_id, stat, tail) of (text_id, stat, lang, value): the share of the language's values that are at least as abnormal."""
-    total = long.count()
-    parts = max(4, -(-total // rows_a_partition))
-    keys = ["stat", "lang", "value", "text_id"]
+def exact_tails(values: DataFrame, directions: dict[str, bool] = DIRECTIONS, rows_a_partition: int = ROWS_A_PARTITION, prior: int = PRIOR_TEXTS) -> DataFrame:
+    """(stat, lang, value, n, tail) of (stat, lang, value, n), n texts having each different value: the share of the language's texts, and of ``prior`` plain ones, that are at least as abnormal."""
+    keys = ["stat", "lang", "value"]
+    parts = max(4, -(-values.count() // rows_a_partition))
     # written before it is read twice, so that the partitions are the same ones
-    ranged = cut(long.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("pid", F.spark_partition_id()))
+    ranged = cut(values.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("pid", F.spark_partition_id()))
+    by_pid = Window.partitionBy("stat", "lang")
+    sums = ranged.groupBy("stat", "lang", "pid").agg(F.sum("n").alias("here"))
+    offsets = small(cut(sums.select("stat", "lang", "pid", F.sum("here").over(by_pid).alias("whole"), (F.sum("here").over(by_pid.orderBy("pid")) - F.col("here")).alias("before"))))
 
-    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts: dict[tuple, list] = {}
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, total = None, 0
         for pdf in batches:
-            for (pid, stat, lang), g in pdf.groupby(["pid", "stat", "lang"], sort=False):
-                v = g["value"].to_numpy()
-                lo, hi = v[0], v[-1]
-                one = [len(v), lo, int((v == lo).sum()), hi, int((v == hi).sum())]
-                old = parts.get((pid, stat, lang))
-                if old is None:
-                    parts[pid, stat, lang] = one
-                else:
-                    parts[pid, stat, lang] = [old[0] + one[0], old[1], old[2] + int((v == old[1]).sum()), hi, one[4] + (old[4] if old[3] == hi else 0)]
-        yield pd.DataFrame([(*k, *x) for k, x in parts.items()], columns=["pid", "stat", "lang", "n", "lo", "n_lo", "hi", "n_hi"])
-
-    # one row a partition, statistic and language
-    rows = ranged.mapInPandas(summarise, "pid int, stat string, lang string, n long, lo double, n_lo long, hi double, n_hi long").toPandas().sort_values(["stat", "lang", "pid"])
-    plan: dict[tuple, tuple] = {}
-    for (stat, lang), g in rows.groupby(["stat", "lang"], sort=False):
-        recs = g.to_dict("records")
-        whole, before = int(g["n"].sum()), 0
-        ties: Counter = Counter()  # rows of each value that is first or last in a partition
-        for r in recs:
-            ties[r["lo"]] += r["n_lo"]
-            if r["hi"] != r["lo"]:
-                ties[r["hi"]] += r["n_hi"]
-        below: dict[float, int] = {}
-        for r in recs:
-            below.setdefault(r["lo"], before)
-            if r["hi"] != r["lo"]:
-                below.setdefault(r["hi"], before + int(r["n"]) - int(r["n_hi"]))
-            plan[int(r["pid"]), stat, lang] = (whole, before, float(r["lo"]), below[r["lo"]], int(ties[r["lo"]]), float(r["hi"]), below[r["hi"]], int(ties[r["hi"]]))
-            before += int(r["n"])
-    shared = long.sparkSession.sparkContext.broadcast(plan)
-
-    def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [b for b in batches if len(b)]  # a range partition, of about ROWS_A_PARTITION rows
-        if not held:
-            return
-        pdf = pd.concat(held, ignore_index=True)
-        for (pid, stat, lang), g in pdf.groupby(["pid", "stat", "lang"], sort=False):
-            whole, before, lo, lo_below, lo_n, hi, hi_below, hi_n = shared.value[int(pid), stat, lang]
-            v = g["value"].to_numpy()
-            less = before + np.searchsorted(v, v, "left")
-            upto = before + np.searchsorted(v, v, "right")
-            less, upto = np.where(v == lo, lo_below, less), np.where(v == lo, lo_below + lo_n, upto)
-            less, upto = np.where(v == hi, hi_below, less), np.where(v == hi, hi_below + hi_n, upto)
-            tail = (whole - less) / whole if directions[stat] else upto / whole
-            yield pd.DataFrame({"text_id": g["text_id"].to_numpy(), "stat": stat, "tail": tail})
-
-    return ranged.mapInPandas(rank, "text_id long, stat string, tail double")
+            n = pdf["n"].to_numpy()
+            run = np.cumsum(n)
+            groups = list(zip(pdf["stat"], pdf["lang"]))
+            for k, g in enumerate(groups):
+                if g != now:
+                    now, total = g, -(run[k] - n[k])
+                run[k] += total
+            # the next batch goes on from here
+            total = run[-1] if len(run) else total
+            yield pdf.assign(upto=run)
+
+    ranked = ranged.mapInPandas(add_up, "stat string, lang string, value double, n long, pid int, upto long").join(offsets, ["stat", "lang", "pid"])
+    upto = F.col("before") + F.col("upto")
+    least, high = F.col("whole") - upto + F.col("n"), F.col("stat").isin([s for s, up in directions.items() if up])
+    plain = F.when(F.col("stat").isin(*KINDS) & (F.col("value") > 0), 0).otherwise(prior)
+    return ranked.select(*keys, "n", ((F.when(high, least).otherwise(upto) + plain) / (F.col("whole") + prior)).alias("tail"))
 
 
 def measured(texts: DataFrame) -> DataFrame:
@@ -233,27 +214,37 @@ def measured(texts: DataFrame) -> DataFrame:
             more = pd.DataFrame([shape(t) for t in pdf["texts"]], columns=["cells", "items", "broken", "code", "heap"], dtype="float64")
             yield pd.concat([pdf.drop(columns="texts").reset_index(drop=True), more], axis=1)
 
-    return base.mapInPandas(add, "text_id long, lang string, word_count int, mean_word_length double, symbol_ratio double, line_end_share double, common_share double, cells double, items double, broken double, code double, heap double")
+    return base.withColumn("text", F.md5("texts")).mapInPandas(add, "text_id long, lang string, word_count int, mean_word_length double, symbol_ratio double, line_end_share double, common_share double, text string, cells double, items double, broken double, code double, heap double")
+
+
+def stats_of(rows: DataFrame) -> DataFrame:
+    """(lang, text, stat, value) of every text, ten rows each."""
+    stats = F.array(*[F.struct(F.lit(s).alias("stat"), F.coalesce(F.col(s), F.lit(0)).cast("double").alias("value")) for s in DIRECTIONS])
+    return rows.select("lang", "text", F.explode(stats).alias("x")).select("lang", "text", "x.stat", "x.value")
 
 
 def scored(texts: DataFrame) -> DataFrame:
-    """All statistics with outlier (sum of -ln tail)."""
-    rows = cut(measured(texts).withColumn("row", F.monotonically_increasing_id()))
-    stats = F.array(*[F.struct(F.lit(s).alias("stat"), F.coalesce(F.col(s), F.lit(0.0)).alias("value")) for s in DIRECTIONS])
-    long = rows.select(F.col("row").alias("text_id"), F.coalesce("lang", F.lit("")).alias("lang"), F.explode(stats).alias("x")).select("text_id", "lang", "x.stat", "x.value")
-    tails = exact_tails(long).groupBy("text_id").agg(F.sum(-F.log("tail")).alias("outlier"))
-    return rows.join(tails.withColumnRenamed("text_id", "row"), "row").drop("row")
+    """(text_id, lang, the shares of KINDS, outlier) of the texts that have some share of a kind: the others are prose whatever their score."""
+    rows = cut(measured(texts).withColumn("lang", F.coalesce("lang", F.lit(""))))
+    # each different text of a language once, with the number of its copies
+    once = cut(rows.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("copies"), *[F.first(s).alias(s) for s in DIRECTIONS]))
+    some = functools.reduce(Column.__or__, [F.col(k) > 0 for k in KINDS])
+    tails = cut(exact_tails(stats_of(once).groupBy("stat", "lang", "value").agg(F.count(F.lit(1)).alias("n"))))
+    of_some = hot_key_join(stats_of(once.where(some)), tails, ["stat", "lang", "value"], "n", len(DIRECTIONS) * once.count())
+    outliers = of_some.groupBy("lang", "text").agg(F.sum(-F.log("tail")).alias("outlier")).join(once.select("lang", "text", "copies"), ["lang", "text"])
+    return hot_key_join(rows.where(some).select("text_id", "lang", "text", *KINDS), cut(outliers), ["lang", "text"], "copies", rows.count()).drop("text", "copies")
 
 
 def no_prose(texts: DataFrame) -> DataFrame:
     """(text_id, kind, outlier) of the texts that are no natural prose."""
-    # first broken characters, then rows of cells, heaps and code, then items
+    enough = lambda share: share * F.col("outlier") >= LEAST_SCORE
+    # first broken characters, then code, rows of cells, heaps and items
     kind = (
-        F.when(F.col("broken") >= 0.03, "junk")
-        .when(F.col("code") >= 0.5, "junk")
-        .when(F.col("cells") >= 0.5, "table")
-        .when(F.col("heap") >= 0.5, "junk")
-        .when(F.col("items") > 0.5, "list")
+        F.when(enough(F.least(F.col("broken") / BROKEN_WHOLE, F.lit(1.0))), "junk")
+        .when(enough(F.col("code")), "junk")
+        .when(enough(F.col("cells")), "table")
+        .when(enough(F.col("heap")), "junk")
+        .when(enough(F.col("items")), "list")
     )
     return scored(texts).select("text_id", kind.alias("kind"), "outlier").where("kind IS NOT NULL")
 

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from corploom.llm import p2_body as P2, p3_sentences as P3, p5_align as P5, p6_quality as P6, p8_leaks as P8, p9_subjects as P9
 
@@ -206,16 +207,30 @@ def test_cut_off_lines_of_any_length():
 # ---- quality ------------------------------------------------------------------------------------------------------------
 
 
-def test_exact_tails_against_brute_force(spark):
+def test_exact_tails_against_brute_force(spark, monkeypatch):
     r = random.Random(5)
     rows = [(i, s, r.choice(["a", "b"]), float(r.choice([0, 0, 0, 0, 1, r.randint(0, 20)]))) for i in range(400) for s in ("items", "common_share")]
-    df = spark.createDataFrame(rows, "text_id long, stat string, lang string, value double")
-    got = {(x["text_id"], x["stat"]): x["tail"] for x in P6.exact_tails(df, rows_a_partition=60).collect()}
-    assert len(got) == len(rows)
-    for i, s, lang, v in rows:
-        same = [x[3] for x in rows if x[1] == s and x[2] == lang]
-        n = sum(x >= v for x in same) if P6.DIRECTIONS[s] else sum(x <= v for x in same)
-        assert got[i, s] == pytest.approx(n / len(same))
+    df = spark.createDataFrame(rows, "text_id long, stat string, lang string, value double").groupBy("stat", "lang", "value").agg(F.count("*").alias("n"))
+    for small, parts in ((10**6, 7), (-1, 7), (10**6, 10**6)):
+        monkeypatch.setattr(P6, "SMALL_ROWS", small)
+        got = {(x["stat"], x["lang"], x["value"]): (x["n"], x["tail"]) for x in P6.exact_tails(df, rows_a_partition=parts, prior=0).collect()}
+        assert set(got) == {x[1:] for x in rows}
+        for _, s, lang, v in rows:
+            same = [x[3] for x in rows if x[1] == s and x[2] == lang]
+            n = sum(x >= v for x in same) if P6.DIRECTIONS[s] else sum(x <= v for x in same)
+            assert got[s, lang, v] == (same.count(v), pytest.approx(n / len(same)))
+    one = P6.exact_tails(spark.createDataFrame([("items", "a", 0.5, 1), ("code", "a", 0.0, 1)], "stat string, lang string, value double, n long"), prior=50).collect()
+    assert {x["stat"]: x["tail"] for x in one} == {"items": pytest.approx(1 / 51), "code": 1.0}
+    assert P6.exact_tails(df.limit(0)).count() == 0
+
+
+def test_the_outlier_score_decides(spark):
+    """Texts with the same share of items: one outstanding otherwise, one as long and plain as all others."""
+    plain = [(i, "eng", f"The {i} people of the town went to the market.\nThe day was over, and they {i} left it.") for i in range(200)]
+    odd = [(900, "eng", "- x#\n- y#\nIt was the day."), (901, "eng", "- The people of the town went to the market.\nThe day was over, and they left it.\nIt was so.")]
+    rows = {r["text_id"]: r for r in P6.scored(spark.createDataFrame(plain + odd, "text_id long, lang string, texts string")).collect()}
+    assert set(rows) >= {900} and rows[900]["items"] < 0.7 and rows[900]["outlier"] > 6
+    assert {r["text_id"]: r["kind"] for r in P6.no_prose(spark.createDataFrame(plain + odd, "text_id long, lang string, texts string")).collect()} == {900: "list"}
 
 
 def test_kinds(spark):
