@@ -7,6 +7,10 @@ G2 values of all (site, line) pairs with two pages or more go through Benjamini-
 histogram of G2 with a fixed number of bins, whatever the size of the corpus. Significant lines are joined back to the
 pages (hot lines by a bounded broadcast, all others by a shuffle) and removed; the rest is reassembled by position.
 
+The six pages are the definition of a recurring line here, so they are checked after the test, and the background is chosen
+so that the test doesn't contradict them where a line is one site's own; a line that stands once on many pages of many sites
+is no excess on any of them, however many of one site's pages hold it.
+
 Nulls: a row with a null url belongs to no site, one with null content has no lines; neither has found lines, and both keep
 their content as it is. Lines without letters are never found. Repeated rows count as pages if their ids differ.
 """
@@ -26,6 +30,8 @@ FDR = 0.05
 #: A site with fewer pages can't show a repetition, so its pages are no background. Prior of the background: so many pages
 #: on which so many coincidental occurrences were seen (it decides only where the corpus outside a site is tiny).
 PRIOR_PAGES, PRIOR_SEEN = 100.0, 0.1
+#: A site with fewer pages is never joined by a broadcast.
+LEAST_HOT_PAGES = 1_000
 #: G2 histogram: bins of 0.01 up to 2000 (a p-value far under any threshold); fixed size.
 BIN, BINS = 0.01, 200_000
 
@@ -86,22 +92,25 @@ def fdr_threshold(hist: list[tuple[int, int]], rate: float) -> float:
 
 
 def excess_lines(pages: DataFrame, id_col: str = "crawl_id", url_col: str = "src_url", text_col: str = "src_content", rate: float = FDR, min_pages: int = MIN_PAGES) -> tuple[DataFrame, int]:
-    """(site, key, pages, g2) of the lines in significant excess on at least ``min_pages`` pages; and the number of pages."""
+    """(site, key, pages, g2) of the lines in significant excess on at least ``min_pages`` pages; and the sum of pages."""
     counts = site_line_counts(pages, id_col, url_col, text_col)
-    sites = pages.select(site_of(F.col(url_col)).alias("site")).where("site IS NOT NULL").groupBy("site").agg(F.count(F.lit(1)).alias("site_pages"))
-    # of a line found on one page only of every site, there's nothing to test; its key's single occurrences are background
+    sites = cut(pages.select(site_of(F.col(url_col)).alias("site")).where("site IS NOT NULL").groupBy("site").agg(F.count(F.lit(1)).alias("site_pages")))
     total, outside = sites.agg(F.coalesce(F.sum("site_pages"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("site_pages") >= min_pages, F.col("site_pages"))), F.lit(0))).first()
-    counts = counts.join(sites, "site")
+    # big sites, of which no more than a bounded number exist, are joined by a broadcast
+    counts = cut(hot_key_join(counts, sites, ["site"], "site_pages", total, least=LEAST_HOT_PAGES))
+    # of a line found on one page only of every site, there's nothing to test; its key's single occurrences are background
     single = F.when((F.col("pages") == 1) & (F.col("site_pages") >= min_pages), 1).otherwise(0)
-    by_key = counts.groupBy("key").agg(F.sum(single).alias("singles"), F.max("pages").alias("most")).where("most > 1").drop("most")
-    tested = counts.where("pages > 1").join(by_key, "key")
+    repeated = F.when(F.col("pages") > 1, 1).otherwise(0)
+    by_key = counts.groupBy("key").agg(F.sum(single).alias("singles"), F.sum(repeated).alias("sites")).where("sites > 0")
+    tested = hot_key_join(counts.where("pages > 1"), by_key, ["key"], "sites", counts.where("pages > 1").count())
     k1, n1 = F.col("pages").cast("double"), F.col("site_pages").cast("double")
     n2 = F.greatest(F.lit(float(outside)) - F.when(F.col("site_pages") >= min_pages, n1).otherwise(0.0), F.lit(0.0))
     k2 = F.least(F.col("singles").cast("double"), n2)
     scored = cut(tested.select("site", "key", "pages", g2(k1, n1, k2 + PRIOR_SEEN, n2 + PRIOR_PAGES).alias("g2")))
     hist = scored.groupBy(F.least(F.floor(F.col("g2") / BIN), F.lit(BINS)).cast("int").alias("bin")).count().collect()  # at most BINS + 1 rows
     threshold = fdr_threshold([(r["bin"], r["count"]) for r in hist], rate)
-    return scored.where((F.col("g2") >= threshold) & (F.col("pages") >= min_pages)), total
+    excess = scored.where((F.col("g2") >= threshold) & (F.col("pages") >= min_pages))
+    return excess, excess.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
 
 
 def found_lines(pages: DataFrame, id_col: str = "crawl_id", url_col: str = "src_url", text_col: str = "src_content", rate: float = FDR, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -114,8 +123,10 @@ def found_lines(pages: DataFrame, id_col: str = "crawl_id", url_col: str = "src_
 def without_lines(pages: DataFrame, found: DataFrame, id_col: str = "crawl_id", text_col: str = "src_content") -> DataFrame:
     """(id, text) of every page, without the found lines, the others in their order."""
     gone = found.groupBy(id_col).agg(F.collect_list("line_no").alias("gone"))
-    kept = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i))
-    return pages.select(id_col, text_col).join(gone, id_col, "left").select(id_col, F.array_join(kept, "\n").alias(text_col))
+    lines = F.split(text_col, "\n")
+    # the anti-join of each page's places with the found ones, by hash within the row; what is left is put together by place
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce("gone", F.array().cast("array<int>")))
+    return pages.select(id_col, text_col).join(gone, id_col, "left").select(id_col, F.when(F.col(text_col).isNotNull(), F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")).alias(text_col))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,8 @@ continuation or a decimal against; a token type before a full stop that is often
 is an abbreviation (with a short fixed list, as small corpora show too few). The fit reads at most ``FIT_TEXTS`` texts (by
 hash of the id; a documented bound); every text is segmented whole.
 
-Blank lines and list markers always bound; nothing inside a closed quotation or bracket does. Null and blank texts have no
-units. Every non-white character belongs to exactly one unit. Repeated rows have units each.
+Blank lines and list markers always bound; nothing inside a closed quotation or bracket does. Null and blank texts and rows
+with a null id have no units. Every non-white character belongs to exactly one unit. Repeated rows have units each.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ _CLOSE = set("”»“」』》〉）)]】›")
 _LIST = re.compile(r"[ \t ]*(?:[-*•–—→‣▪·]|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)])[ \t ]+(?=\S)")
 _TOKEN_BEFORE = re.compile(r"(\S*)$")
 _TOKEN_AFTER = re.compile(r"[\W_]*?(\w+)")
+_GAP = re.compile(r"\s*")
 _THAI = re.compile(r"[฀-๿]")
 
 
@@ -95,20 +96,20 @@ def spans(text: str) -> list[int]:
                 if not stack:
                     for k in range(start + 1, i + 1):
                         inside[k] = i + 1
-            elif c == "\n" and stack and len(stack) > 6:
-                stack.clear()
     return inside
 
 
 def soft_breaks(block: list[str], width: int) -> list[bool]:
     """For each line break of a block, whether a line width made it: the next word would have passed the width.
 
-    The width is the longest line of the text. Two lines alone show no width, so there the continuation must look like one.
+    The width is the longest line of the text. Two lines alone show no width, so there the continuation must look like one;
+    and where paragraphs of any length are lines, the longest is no width: a width over 130 needs two such breaks in a block.
     """
     out = []
+    wide = sum(len(a.rstrip()) + 1 + len(b.split(None, 1)[0]) > width for a, b in zip(block, block[1:])) > 1 if width > 130 else True
     for a, b in zip(block, block[1:]):
         line, word = a.rstrip(), b.split(None, 1)[0]
-        forced = width <= 130 and len(line) + 1 + len(word) > width
+        forced = wide and len(line) + 1 + len(word) > width
         if forced and len(block) < 3 and line[-1] not in MARKS and line[-1] not in ",;" and word[:1].isupper():
             forced = False
         out.append(forced)
@@ -234,9 +235,8 @@ class Text:
         mark = text[m:e]
         before = _TOKEN_BEFORE.search(text[max(start, m - 30) : m]).group(1)
         token = before.lower().strip("(\"'«“„[¿¡»”)")
-        tail = text[place : place + 40]
-        rest = tail.lstrip()
-        gap = tail[: len(tail) - len(rest)]
+        gap = _GAP.match(text, place).group()
+        rest = text[place + len(gap) : place + len(gap) + 40]
         nxt = rest[:1]
         after = _TOKEN_AFTER.match(rest)
         word = after.group(1).lower() if after else ""
@@ -262,7 +262,7 @@ class Text:
         """Features of a line break without a terminal mark before it: a heading's or list item's end, or a wrapped line."""
         text = self.text
         before = _TOKEN_BEFORE.search(text[max(start, place - 30) : place]).group(1).lower().replace("’", "'")
-        rest = text[place : place + 60].lstrip()
+        rest = text[_GAP.match(text, place).end() :][:60]
         word = rest.split(None, 1)[0] if rest else ""
         token = before.rsplit("'", 1)[-1] if len(before) > 4 else before
         shape = "9" if any(c.isdigit() for c in before) else token[:12]
@@ -288,9 +288,9 @@ class Text:
         m = e
         while m > start and text[m - 1] in MARKS + "|｡":
             m -= 1
-        tail = text[place : place + 40]
-        rest = tail.lstrip()
-        return {"mark": text[m:e], "token": _TOKEN_BEFORE.search(text[max(start, m - 30) : m]).group(1).lower().strip("(\"'«“„[¿¡»”)"), "gap": tail[: len(tail) - len(rest)], "next": rest[:1], "before": text[m - 1] if m else "", "rest": rest}
+        gap = _GAP.match(text, place).group()
+        rest = text[place + len(gap) : place + len(gap) + 40]
+        return {"mark": text[m:e], "token": _TOKEN_BEFORE.search(text[max(start, m - 30) : m]).group(1).lower().strip("(\"'«“„[¿¡»”)"), "gap": gap, "next": rest[:1], "before": text[m - 1] if m else "", "rest": rest}
 
 
 def label(t: Text, place: int, what: str, start: int, feats: list[str], kinds: dict[str, str]) -> int | None:
@@ -358,13 +358,13 @@ def token_kinds(texts: list[Text]) -> dict[str, str]:
     return out
 
 
-def never_final(texts: list[Text], most: int = 3_000) -> set[str]:
+def never_final(texts: list[Text]) -> set[str]:
     """Frequent words that (almost) never stand before a terminal mark or a sure end: function words, mostly."""
     whole, final = Counter(), Counter()
     for t in texts:
         whole.update(re.findall(r"[^\W\d_]+", t.text.lower()))
         final.update(m.group(1) for m in re.finditer(r"([^\W\d_]+)[\s»”\"']*(?:[.!?…。！？؟।．,;:]|\n|$)", t.text.lower()))
-    return {w for w, n in whole.most_common(most) if n >= 10 and final[w] <= 0.08 * n}
+    return {w for w, n in whole.items() if n >= 10 and final[w] <= 0.08 * n}
 
 
 class Segmenter:
@@ -467,7 +467,7 @@ class Segmenter:
 
 def segment_texts(texts: DataFrame, id_col: str = "text_id", text_col: str = "texts", lang_col: str = "lang") -> DataFrame:
     """(text_id, start_pos, end_pos): the units of every text."""
-    rows = texts.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("texts"), F.col(lang_col).alias("lang")).where("texts IS NOT NULL")
+    rows = texts.select(F.col(id_col).alias("text_id"), F.col(text_col).alias("texts"), F.col(lang_col).alias("lang")).where("text_id IS NOT NULL AND texts IS NOT NULL")
     sample = sorted(hash_sample(rows, "text_id", FIT_TEXTS).collect(), key=lambda r: r[0])
     model = texts.sparkSession.sparkContext.broadcast(Segmenter().fit([(r[1], r[2]) for r in sample]))
 

@@ -6,13 +6,12 @@ between two digits counts), the smaller one first. Then recursive radix partitio
 1. each map task counts its own copies in a trie (terminal counters: copies and smallest id) and hands on one partial
    record per distinct key, so that a group with a third of all rows is a few partial records;
 2. buckets are prefixes of the canonical bytes. A bucket with more partial records than fit is split by further bytes, and
-   its parts again, until each fits or its keys end. At most ``MAX_SPLIT`` buckets of a level can be oversized, because the
-   limit grows with the number of records, so the list of them is bounded;
+   its parts again, until each fits or its keys end, whatever the number of records and the length of the keys;
 3. buckets are shuffled, sorted within their partition, and streamed through one trie per bucket.
 
 Copies are found by joining the records with the groups of two or more (hot groups by a bounded broadcast).
 
-A record with a null side or a side without letter or digit belongs to no group. Repeated ids count as copies of their own.
+A record with a null id, a null side or a side without letter or digit belongs to no group. Repeated ids count as copies of their own.
 An empty table gives empty results; other columns are ignored.
 """
 
@@ -28,9 +27,9 @@ from corploom.session import cut, table
 
 #: A map task's trie is emptied downstream when it holds this many distinct keys (memory bound; no effect on results).
 TRIE_KEYS = 20_000
-#: Partial records that a bucket may hold before it is split by further bytes, and the most buckets that a level splits.
-BUCKET_ROWS, MAX_SPLIT = 50_000, 4_096
-FIRST_BYTES, MOST_BYTES = 2, 4_096
+#: Partial records that a bucket may hold before it is split by further bytes, and oversized prefixes that may be broadcast.
+BUCKET_ROWS, SMALL_PREFIXES = 50_000, 1_000_000
+FIRST_BYTES = 2
 
 
 def canonical_side(text: Column) -> Column:
@@ -128,42 +127,39 @@ def _bucket_tries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield _frame(trie) if trie.size else pd.DataFrame({"key": [], "copies": pd.Series([], dtype="int64"), "keep_id": pd.Series([], dtype="int64")})
 
 
-def radix_depths(partial: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[int, list[tuple[int, list[bytes]]]]:
-    """Number of partial records, and for each level its depth in bytes with the prefixes that must be split further."""
-    total = partial.count()
-    limit = max(bucket_rows, -(-total // MAX_SPLIT))
+def bucketed(partial: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``partial`` with its bucket: the shortest prefix of the key, of FIRST_BYTES times a power of two, with no more than ``bucket_rows`` partial records, or the whole key.
+
+    Of each level only the oversized prefixes are kept, at most one for ``bucket_rows`` records; rows get their level by
+    joins with them, broadcasts where they were counted and are few.
+    """
     levels, depth, rest = [], FIRST_BYTES, partial
-    while depth <= MOST_BYTES:
+    while True:
         prefix = F.substring("key", 1, depth)
-        over = [bytes(r[0]) for r in rest.where(F.octet_length("key") > depth).groupBy(prefix.alias("p")).count().where(F.col("count") > limit).select("p").collect()]
-        if not over:
+        over = cut(rest.where(F.octet_length("key") > depth).groupBy(prefix.alias(f"p{depth}")).count().where(F.col("count") > bucket_rows).select(f"p{depth}", F.lit(True).alias(f"over{depth}")))
+        n = over.count()
+        if not n:
             break
-        levels.append((depth, over))
-        rest, depth = partial.where(prefix.isin(over)), depth * 2
-    return total, levels
-
-
-def bucket_of(levels: list[tuple[int, list[bytes]]]) -> Column:
-    """The shortest prefix of the key that isn't oversized."""
-    depth = FIRST_BYTES * 2 ** len(levels)
-    bucket = F.substring("key", 1, depth)
-    for d, over in reversed(levels):
-        p = F.substring("key", 1, d)
-        bucket = F.when(p.isin(over), bucket).otherwise(p)
-    return bucket
+        levels.append((depth, F.broadcast(over) if n <= SMALL_PREFIXES else over))
+        rest = partial.withColumn(f"p{depth}", prefix).join(levels[-1][1], f"p{depth}", "left_semi").drop(f"p{depth}")
+        depth *= 2
+    out, bucket = partial, F.substring("key", 1, depth)
+    for d, over in levels:
+        out = out.withColumn(f"p{d}", F.substring("key", 1, d)).join(over, f"p{d}", "left")
+    for d, _ in reversed(levels):
+        bucket = F.when(F.col(f"over{d}"), bucket).otherwise(F.substring("key", 1, d))
+    return out.select(*partial.columns, bucket.alias("bucket"))
 
 
 def canonical_records(records: DataFrame, id_col: str, src_col: str, tgt_col: str) -> DataFrame:
-    return records.select(F.col(id_col).cast("long").alias("id"), F.explode(canonical_keys(F.col(src_col), F.col(tgt_col))).alias("key"))
+    return records.select(F.col(id_col).cast("long").alias("id"), F.explode(canonical_keys(F.col(src_col), F.col(tgt_col))).alias("key")).where("id IS NOT NULL")
 
 
 def copy_groups(records: DataFrame, id_col: str = "tm_id", src_col: str = "srctexts", tgt_col: str = "tgttexts", bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
     """(key, copies, keep_id): one row per distinct record; and an upper bound of the number of records."""
     schema = "key binary, copies long, keep_id long"
     partial = cut(canonical_records(records, id_col, src_col, tgt_col).mapInPandas(_map_tries, schema))
-    total, levels = radix_depths(partial, bucket_rows)
-    buckets = partial.withColumn("bucket", bucket_of(levels))
-    merged = cut(buckets.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_bucket_tries, schema))
+    merged = cut(bucketed(partial, bucket_rows).repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_bucket_tries, schema))
     rows = merged.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     return merged, rows
 
@@ -171,7 +167,9 @@ def copy_groups(records: DataFrame, id_col: str = "tm_id", src_col: str = "srcte
 def found_copies(records: DataFrame, id_col: str = "tm_id", src_col: str = "srctexts", tgt_col: str = "tgttexts", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(keep_id, copy_id): every record of a group but its first, with the first. Of records with equal ids, one is the first."""
     groups, rows = copy_groups(records, id_col, src_col, tgt_col, bucket_rows)
-    pairs = hot_key_join(canonical_records(records, id_col, src_col, tgt_col), groups.where("copies > 1"), ["key"], "copies", rows)
+    # 16 bytes stand for the canonical ones, so that no text is shuffled
+    digest = F.unhex(F.md5("key")).alias("digest")
+    pairs = hot_key_join(canonical_records(records, id_col, src_col, tgt_col).select("id", digest), groups.where("copies > 1").select(digest, "copies", "keep_id"), ["digest"], "copies", rows)
     return pairs.where("id <> keep_id").select("keep_id", F.col("id").alias("copy_id"))
 
 
