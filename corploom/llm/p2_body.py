@@ -10,7 +10,7 @@ site's pages; as a page has few lines, a site has at most lines-per-page / 0.03
 their counted number is small, so that texts stay where they are; else big sites by a broadcast, the others by a shuffle. The network is fitted on at most ``FIT_PAGES`` pages (by hash of the id; a documented bound), labelled by rules for
 clear cases only (cue phrases, recurring lines, full sentences, the page's own heading); unclear lines carry little weight.
 
-Null and empty sides have no body; blank lines are counted but never labelled. Rows with null urls belong to no site and
+Null and empty sides, and rows with a null id, have no body; blank lines are counted but never labelled. Rows with null urls belong to no site and
 have no standing lines. Repeated rows are labelled each.
 """
 
@@ -476,7 +476,7 @@ class Standing:
 
     def of(self, pages: DataFrame, id_col: str = "crawl_id") -> DataFrame:
         """(crawl_id, urls, contents, site, standing) of every page. The texts stay where they are if the counted keys are few; else only those of small sites are shuffled."""
-        rows = pages.select(F.col(id_col).alias("crawl_id"), *COLUMNS, site_of(F.coalesce("src_url", "tgt_url")).alias("site"))
+        rows = pages.select(F.col(id_col).alias("crawl_id"), *COLUMNS, site_of(F.coalesce("src_url", "tgt_url")).alias("site")).where("crawl_id IS NOT NULL")
         lines = self.table.select("site", "standing")
         if self.keys <= SMALL_KEYS:
             return rows.join(F.broadcast(lines), "site", "left")

@@ -12,7 +12,7 @@ every language go ``PRIOR_TEXTS`` plain texts, which decide only where it has ha
 its lines (characters, words) that are of a kind, times the outlier score, is ``LEAST_SCORE`` or more: half a list among
 outstanding lines counts as much as a whole one among common ones. Broken characters count whole from ``BROKEN_WHOLE`` on.
 
-Null and blank texts have no row among the found; their statistics are null (count 0). A null language is a language of its
+Null and blank texts, and rows with a null id, have no row among the found; their statistics are null (count 0). A null language is a language of its
 own. Repeated rows are treated each; tied values share their rank. Empty tables give empty results.
 """
 
@@ -207,7 +207,7 @@ def exact_tails(values: DataFrame, directions: dict[str, bool] = DIRECTIONS, row
 
 def measured(texts: DataFrame) -> DataFrame:
     """Every text that is neither null nor blank, with all statistics."""
-    base = statistics(texts.select("text_id", "lang", "texts").where(F.col("texts").rlike(r"(?U)\S")))
+    base = statistics(texts.select("text_id", "lang", "texts").where(F.col("text_id").isNotNull() & F.col("texts").rlike(r"(?U)\S")))
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -139,6 +139,15 @@ def test_every_character_belongs_to_one_unit(segmenter):
         assert not text[at:].strip()
 
 
+def test_wide_lines_and_gaps(segmenter):
+    wide = ["word " * 30 + "end", "more " * 30 + "and", "again " * 24 + "of it.", "So it went."]  # a text wrapped at over 130 characters
+    assert P3.soft_breaks(wide, 153) == [True, True, False]
+    paragraphs = ["A long paragraph of the text " * 8, "The next one is here.", "And one more."]
+    assert P3.soft_breaks(paragraphs, len(paragraphs[0].rstrip())) == [False, False]
+    text = "They left early." + " " * 90 + "Nobody stayed in the town hall."
+    assert [text[a:b] for a, b in segmenter.units(text, "eng")] == ["They left early.", "Nobody stayed in the town hall."]
+
+
 def test_segment_table(spark):
     df = spark.createDataFrame([(1, "One here. Two here.", "eng", "x"), (2, None, "eng", "x"), (3, "", None, "x"), (1, "One here. Two here.", "eng", "x")], "text_id long, texts string, lang string, start_pos string")
     assert sorted(tuple(r) for r in P3.segment_texts(df).collect()) == [(1, 0, 9), (1, 0, 9), (1, 10, 19), (1, 10, 19)]
@@ -331,6 +340,22 @@ def test_subjects(spark):
     assert P9.label_subjects(df.limit(0), spark.createDataFrame(ex, "example_id long, domain string, text string")).count() == 0
 
 
+def test_languages_unknown_to_the_lists_have_no_rows():
+    other = ["Il governo ha approvato la riforma e il ministro dice che la legge non è ancora in vigore.", "O governo aprovou a reforma e o ministro disse que a lei não é para todos.", "De regering heeft de wet aangenomen en de minister zegt dat het goed is.", "Rząd przyjął ustawę i minister mówi, że to dobrze dla kraju.", "El govern ha aprovat la llei i el ministre diu que és bona per al país.", "12 34", ""]
+    assert not any(P9.is_en_fr(P9.flat(t)) for t in other)
+    assert all(P9.is_en_fr(P9.flat(t)) for t in ("(The dog), the \"cat\": of course.", "L'eau, d'abord; qu'il vienne, dit-on.", "The mayor said so. Le maire l'a dit."))
+
+
+def test_null_ids_are_left_out(spark):
+    docs = spark.createDataFrame([(None, "The dog saw the cat. It ran.", "eng", "segment"), (1, "The dog saw the cat. It ran.", "eng", "segment")], "id int, text string, lang string, stage string")
+    assert {r[0] for r in P3.segment_texts(docs, "id", "text", "lang").collect()} == {1}
+    assert P6.no_prose(docs.selectExpr("id AS text_id", "lang", "repeat('\ufffd', 40) AS texts")).count() == 1
+    ex = spark.createDataFrame([(i, "sport", "The goalkeeper saw the goalkeeper.") for i in range(6)] + [(9, "law", "The statute is the statute.")] * 6, "example_id int, domain string, text string")
+    assert {r[0] for r in P9.label_subjects(docs, ex, None, "id").collect()} <= {1}
+    pages = spark.createDataFrame([(None, "http://a.example/x", "A whole sentence stands here now.", None, None), (2, "http://a.example/y", "A whole sentence stands here again.", None, None)], "crawl_id int, src_url string, src_content string, tgt_url string, tgt_content string")
+    assert {r[0] for r in P2.label_pages(pages).collect()} <= {2} and P5.align_pages(pages).count() == 0
+
+
 def test_held_out_subjects():
     r = random.Random(6)
     terms = {"a": ["alpha ray", "beta ray"], "b": ["gamma rule", "delta rule"]}
