@@ -43,6 +43,10 @@ PATTERNS = {
 }
 
 
+#: Kinds whose patterns look at nothing around them.
+SIMPLE = ("digit", "percentage", "url", "email", "markup", "size", "currency_eng", "currency_fra", "date_eng", "date_fra", "coordinates", "uuid")
+
+
 def extract(text: Column, name: str) -> Column:
     """All entities of a kind, in order."""
     return F.regexp_extract_all(text, F.lit("(?U)" + PATTERNS[name]), F.lit(0))

@@ -244,7 +244,8 @@ def clean_html(text: Column) -> Column:
 
     Only texts with mark-up or entities go through Python; all others never leave the JVM's value.
     """
-    return apply_rules(F.when(text.rlike("[<&]"), _strip_html(text)).otherwise(text), STRAY_ENTITY)
+    # a Python function runs for every row whatever the condition around it, so the others send it a null
+    return apply_rules(F.coalesce(_strip_html(F.when(text.rlike("[<&]"), text)), text), STRAY_ENTITY)
 
 
 def visible_text(page: Column) -> Column:
@@ -261,7 +262,7 @@ def repair(text: Column, widths: bool = True) -> Column:
     if widths:
         wide = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
         plain = F.translate(plain, wide, "".join(chr(ord(c) - 0xFEE0) for c in wide))
-    return F.when(plain.rlike(r"[̀-ͯ]"), _compose(plain)).otherwise(plain)
+    return F.coalesce(_compose(F.when(plain.rlike(r"[̀-ͯ]"), plain)), plain)
 
 
 @F.pandas_udf(T.StringType())
@@ -269,6 +270,11 @@ def _compose(texts: pd.Series) -> pd.Series:
     return texts.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
+def repair_narrow(text: Column) -> Column:
+    """``repair`` without changing widths."""
+    return repair(text, False)
+
+
 _EASTERN = ("ypt", "zhh", "zhs", "zht")
 
 
@@ -281,9 +287,9 @@ def _chain(lang: str, english: Column | None) -> list[Callable[[Column], Column]
     if lang == "fra":
         return [*head, repair, alphabet_french, contractions_french, brackets_latin, punctuation_french, word_spaces_latin, quotes_latin, quotes_to_guillemets, apostrophe_french, percentages_french, lambda c: numbers_french(c, english)]
     if lang == "jpn":
-        return [*head, lambda c: repair(c, False), percentages, brackets_japanese, quotes_japanese, punctuation_japanese, word_spaces_latin]
+        return [*head, repair_narrow, percentages, brackets_japanese, quotes_japanese, punctuation_japanese, word_spaces_latin]
     if lang in _EASTERN:
-        return [*head, lambda c: repair(c, False), percentages, brackets_chinese, quotes_chinese, punctuation_chinese, word_spaces_chinese]
+        return [*head, repair_narrow, percentages, brackets_chinese, quotes_chinese, punctuation_chinese, word_spaces_chinese]
     return head
 
 
@@ -294,8 +300,30 @@ def humanize(text: Column, lang: str, english: Column | None = None) -> Column:
 
 def humanize_table(df: DataFrame, text: str, lang: str, english: str | None = None, out: str | None = None) -> DataFrame:
     """``humanize`` with one projection a step: steps that use their input several times don't repeat what came before."""
+    return humanize_by_language(df, text, [(F.lit(True), lang)], english, out)
+
+
+def humanize_by_language(df: DataFrame, text: str, chains: list[tuple[Column, str]], english: str | None = None, out: str | None = None) -> DataFrame:
+    """Each row by the chain of the language whose condition holds (they exclude one another), else only without mark-up and with dollar spacing.
+
+    One pass over the table for all languages; what several of them do at a step is done once.
+    """
     out, kept = out or text, df.columns
-    now = df.withColumn("_humanized", F.col(text))
-    for f in _chain(lang, None if english is None else F.col(english)):
-        now = now.select(*kept, f(F.col("_humanized")).alias("_humanized"))
+    steps = [(when, _chain(lang, None if english is None else F.col(english))) for when, lang in chains]
+    rest = _chain("", None)
+    now, value = df.withColumn("_humanized", F.col(text)), F.col("_humanized")
+    for k in range(max(len(fs) for _, fs in steps)):
+        same: dict[Callable[[Column], Column] | None, Column] = {}
+        for when, fs in steps:
+            f = fs[k] if k < len(fs) else None
+            same[f] = when if f not in same else same[f] | when
+        last = rest[k] if k < len(rest) else None
+        if len(steps) == 1:  # a table of one language
+            put = steps[0][1][k](value)
+        else:
+            put = last(value) if last else value
+            for f, when in same.items():
+                if f is not last:
+                    put = F.when(when, f(value) if f else value).otherwise(put)
+        now = now.select(*kept, put.alias("_humanized"))
     return now.select(*[c for c in kept if c != out], F.col("_humanized").alias(out))

@@ -10,9 +10,16 @@ from pyspark.sql import Column, functions as F, types as T
 
 from corploom.functions.normalize import trim_unicode
 
-# fixed values: final marks by language (Finnish also lists the bar); other languages take the Latin ones
-FINALS = {"ara": ".؟!", "jpn": "。？！", "zho": "。？！", "zhs": "。？！", "zht": "。？！", "fin": ".|!?", "ell": ".;!", "hin": "।?!|"}
-LATIN_FINALS = ".!?…:;"
+# fixed values: final marks by language, closing ones included; languages that aren't listed take the first ones
+LATIN_FINALS = ';.!?)]}"”'
+FINALS = {
+    "ara": '؛۔!)]}"”»', "fas": '؛۔!)]}"”»',
+    "bul": ';.!?)]}"“»', "ces": ';.!?)]}"“', "dan": ';.!?)]}"«“', "deu": ';.!?)]}"“', "slk": ';.!?)]}"“', "slv": ';.!?)]}"“', "ron": ';.!?)]}"»',
+    "cat": ';.!?)]}"»”', "ell": ';.!?)]}"»”', "fra": ';.!?)]}"»”', "ita": ';.!?)]}"»”', "nor": ';.!?)]}"»”', "rus": ';.!?)]}"»”', "spa": ';.!?)]}"»”', "ukr": ';.!?)]}"»”',
+    "ben": ';|!?)]}"”', "fin": ';|!?)]}"”', "hin": ';|!?)]}"”', "mar": ';|!?)]}"”', "pan": ';|!?)]}"”',
+    "jpn": '；。！？)]}"」﹂',
+    "zhs": '；。！？）]}"”」﹂', "zht": '；。！？）]}"”」﹂', "zhh": '；。！？）]}"”」﹂', "ypt": '；。！？）]}"”」﹂', "zho": '；。！？）]}"”」﹂',
+}
 LAST_IS_WORD = r"(?U).+[\w&&[^_]]$"
 
 
@@ -52,26 +59,16 @@ def sentences_by_line(text: Column, lang: str) -> Column:
     return F.flatten(F.transform(_not_blank(F.split(text, "\n")), lambda x: split_sentences(x, lang)))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _gaps(texts: pd.Series, parts: pd.Series) -> pd.Series:
-    def one(text: str | None, ps) -> list[str] | None:
-        if text is None or ps is None:
-            return None
-        out, at = [], 0
-        for p in ps:
-            i = text.find(p, at)
-            if i < 0:
-                return None
-            out.append(text[at:i])
-            at = i + len(p)
-        return [*out, text[at:]]
-
-    return pd.Series([one(t, p) for t, p in zip(texts, parts)])
-
-
 def gaps(text: Column, parts: Column) -> Column:
     """What lies before, between and after the parts, so that the text can be rebuilt; null if a part isn't found in order."""
-    return _gaps(text, parts)
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(1).alias("at"))
+
+    def step(s: Column, p: Column) -> Column:
+        # the part's place, from where the one before ended; a place of 0 is kept to the end
+        i = F.when(s["at"] > 0, F.call_function("locate", p, text, s["at"])).otherwise(0)
+        return F.struct(F.concat(s["out"], F.array(F.substring(text, s["at"], i - s["at"]))).alias("out"), F.when(i > 0, i + F.length(p)).otherwise(0).alias("at"))
+
+    return F.aggregate(parts, start, step, lambda s: F.when(s["at"] > 0, F.concat(s["out"], F.array(F.substring(text, s["at"], F.length(text))))))
 
 
 def rebuild(parts: Column, between: Column) -> Column:

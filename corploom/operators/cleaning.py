@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corploom.functions import segment as S
-from corploom.functions.normalize import cat_tags, humanize_table, trim_unicode
+from corploom.functions.normalize import cat_tags, humanize_by_language, humanize_table, trim_unicode
 from corploom.operators.relational import keep_first
 
 
@@ -16,6 +19,21 @@ def clean_segments(texts: DataFrame, id_col: str, text_col: str, lang: str = "en
     return out.where(S.has_word_length(F.col("text"), least, most) & S.is_sentence(F.col("text"), lang))
 
 
+def clean_by_language(texts: DataFrame, id_col: str, text_col: str, lang_col: str, langs: Sequence[str], least: int = 8, most: int = 100) -> DataFrame:
+    """(id, lang, pos, text): as clean_segments, each row by the rules of its language (ISO 639-3), in one pass over the table.
+
+    Rows of other or null languages lose mark-up only, and are split and judged as Latin texts.
+    """
+    is_lang = [(F.col(lang_col) == lang, lang) for lang in langs]
+
+    def by_language(rule: Callable[[str], Column]) -> Column:
+        return functools.reduce(lambda c, x: F.when(x[0], rule(x[1])).otherwise(c), reversed(is_lang), rule(""))
+
+    plain = humanize_by_language(texts.select(id_col, lang_col, text_col), text_col, is_lang)
+    out = plain.select(id_col, lang_col, F.posexplode(by_language(lambda lang: S.split_sentences(F.col(text_col), lang))).alias("pos", "text"))
+    return out.where(S.has_word_length(F.col("text"), least, most) & by_language(lambda lang: S.is_sentence(F.col("text"), lang)))
+
+
 def without_tags(lines: DataFrame, text_col: str, order: str) -> DataFrame:
     """Lines without translation-tool tags, the first of each."""
     return keep_first(lines.withColumn(text_col, cat_tags(F.col(text_col))), [text_col], [order])

@@ -8,25 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of each key by the order; ties are the caller's to break.
 
-    An aggregate with partial combination in place of a window: a hot key is combined before the shuffle.
+    A row number limited to 1: each task keeps one row a key before the shuffle, however hot the key, and sorts and shuffles
+    by 16 bytes in place of a text key.
     """
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), rank).alias("row"))
-    return picked.select(*[F.col("row")[c].alias(c) for c in df.columns]) if rest or keys else df
+    text = len(keys) == 1 and df.schema[keys[0]].dataType == T.StringType()
+    by = [F.unhex(F.md5(F.col(keys[0])))] if text else [F.col(k) for k in keys]
+    w = Window.partitionBy(*by).orderBy(*[F.col(o).asc() if isinstance(o, str) else o for o in order])
+    return df.withColumn("_first", F.row_number().over(w)).where(F.col("_first") == 1).drop("_first")
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), rank).alias("row")).select(*[F.col("row")[c].alias(c) for c in df.columns])
+    return keep_first(df, keys, [(F.col(o) if isinstance(o, str) else o).desc() for o in order])
 
 
 def merge_keep_first(frames: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str]) -> DataFrame:

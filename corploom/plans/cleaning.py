@@ -14,12 +14,20 @@ from corploom.session import table
 T = F.col
 
 
+def _language(column: str) -> F.Column:
+    """The three-letter code of a language column in whatever spelling; null if unknown."""
+    known = F.lower(F.trim(column))
+    return F.coalesce(E.map_code(T(column)), F.when(known.isin([r[0] for r in E.LANGUAGES]), known))
+
+
 def clean_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: sentences of the documents with 8 to 100 words and a sentence's shape, each once, counted by language."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.lower(F.trim("lang")), F.lit("-")).alias("lang"), F.posexplode(S.sentences_simple(T("text"))).alias("pos", "raw"))
-    kept = docs.select("doc_id", "lang", "pos", F.trim(F.regexp_replace("raw", r"\s+", " ")).alias("s")).where(F.size(F.split("s", " ")).between(8, 100) & T("s").rlike(r"[.!?\p{L}\p{N}]$"))
-    first = keep_first(kept, ["s"], ["doc_id", "pos"])
-    return first.groupBy("lang").agg(F.count(F.lit(1)).alias("segments"), F.sum(F.length("s")).cast("long").alias("characters"))
+    """Flagship: humanized sentences of the documents with 8 to 100 words and a sentence's shape, each once, counted by language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", _language("lang").alias("lang"))
+    first = keep_first(C.clean_by_language(docs, "doc_id", "text", "lang", PIPELINE_LANGUAGES), ["text"], ["doc_id", "pos"])
+    return first.groupBy("lang").agg(F.count(F.lit(1)).alias("segments"), F.sum(F.length("text")).cast("long").alias("characters"))
+
+
+PIPELINE_LANGUAGES = ("eng", "fra", "ara", "jpn", "zht")
 
 
 def segment_word_len(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,15 +48,23 @@ def sentence_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def paragraph_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentences line by line, with the language's rule."""
-    df = table(spark, sf_dir, "html_text_process").where("stage = 'segment' AND lang = 'eng'")
+    """Sentences of all texts line by line, by the rule of Latin texts."""
+    df = table(spark, sf_dir, "html_text_process")
     return df.select("text_id", F.posexplode(S.sentences_by_line(T("texts"), "eng")).alias("pos", "sentence"))
 
 
+def split_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences of the Japanese, Chinese and Arabic rules (the fallback tokenizer), of all texts."""
+    df = table(spark, sf_dir, "html_text_process")
+    return df.select("text_id", F.explode(F.create_map(*[x for lang in ("jpn", "ara") for x in (F.lit(lang), S.split_sentences(T("texts"), lang))])).alias("rule", "sentences"))
+
+
 def sentence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether texts can be rebuilt from their sentences and gaps: true for every text."""
+    """The number of sentences of every text, and what its gaps hold together; no row for a text that couldn't be rebuilt."""
     df = table(spark, sf_dir, "html_text_process").where("texts IS NOT NULL").withColumn("p", S.sentences(T("texts")))
-    return df.withColumn("g", S.gaps(T("texts"), T("p"))).select("text_id", (S.rebuild(T("p"), T("g")) == T("texts")).alias("same"))
+    df = df.withColumn("g", S.gaps(T("texts"), T("p"))).where(S.rebuild(T("p"), T("g")) == T("texts"))
+    inner = F.array_join(F.transform("p", lambda x: F.regexp_replace(x, r"(?U)\S+", "")), "")
+    return df.select("text_id", F.size("p").alias("sentences"), F.array_join("g", "").alias("gap"), inner.alias("inside"))
 
 
 def subsentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +72,8 @@ def subsentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments_humanized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English humanizer, split and filters over the cleaning table."""
-    return C.clean_segments(table(spark, sf_dir, "html_text_process").where("lang = 'eng'"), "text_id", "texts", "eng")
+    """Humanizer, split and filters over all sources of the memory, by the English rules."""
+    return C.clean_segments(table(spark, sf_dir, "tm_fileparser"), "tm_id", "srctexts", "eng")
 
 
 def _normalizer(column, name: str, text: str = "srctexts"):
@@ -110,7 +126,7 @@ def tokens_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "segments").select("query_id", F.size(S.simple_tokens(T("src_text"))).alias("n"))
+    return table(spark, sf_dir, "segments").select("query_id", S.simple_tokens(T("src_text")).alias("tokens"))
 
 
 def tokens_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,16 +157,13 @@ def chinese_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of entities in every segment."""
-    names = ("percentage", "email", "url", "currency_eng", "date_eng", "date_iso", "phone", "integer", "quantity_eng")
-    return table(spark, sf_dir, "segments").select("query_id", *[E.count(T("src_text"), n).alias(n) for n in names])
-
-
-def entity_counts_portable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "segments").select("query_id", *[F.regexp_count("src_text", F.lit(p)).alias(n) for n, p in _PORTABLE.items()])
+    """Counts of entities of every kind in every segment."""
+    return table(spark, sf_dir, "segments").select("query_id", *[E.count(T("src_text"), n).alias(n) for n in E.PATTERNS])
 
 
-_PORTABLE = {"digits": r"\d", "emails": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "percents": r"\d+(?:[.,]\d+)?\s*%", "dates": r"(?:January|February|March|April|May|June|July|August|September|October|November|December) \d{1,2}, \d{4}"}
+def entity_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entities themselves, of the kinds that another engine finds by the same pattern."""
+    return table(spark, sf_dir, "segments").select("query_id", *[E.extract(T("src_text"), n).alias(n) for n in E.SIMPLE])
 
 
 def canonical_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,20 +192,13 @@ def _inner(left: str, right: str, pad: str = "") -> str:
 
 
 _FLAT = r"trim(regexp_replace(srctexts, '[\s\x0b]+', ' ', 'g'), ' ')"
-QUERIES = {f.__name__: f for f in (clean_pipeline, segment_word_len, segment_shape, sentence_explode, paragraph_sentences, sentence_gaps, subsentences, segments_humanized, norm_humanize_eng, norm_humanize_fra, norm_numbers_french, norm_tag_dedup, tokens_words, tokens_detokenized, tokens_search, tokens_simple, tokens_query, tokens_subword, script_names, text_characters, chinese_predicates, entity_counts, entity_counts_portable, canonical_text, language_codes, symbols)}
+QUERIES = {f.__name__: f for f in (clean_pipeline, segment_word_len, segment_shape, sentence_explode, paragraph_sentences, split_by_language, sentence_gaps, subsentences, segments_humanized, norm_humanize_eng, norm_humanize_fra, norm_numbers_french, norm_tag_dedup, tokens_words, tokens_detokenized, tokens_search, tokens_simple, tokens_query, tokens_subword, script_names, text_characters, chinese_predicates, entity_counts, entity_lists, canonical_text, language_codes, symbols)}
 QUERIES |= {name: _normalizer(f, name, text) for name, (f, text) in NORMALIZERS.items()}
 SQL = {
-    "clean_pipeline": r"""WITH raw AS (SELECT doc_id, coalesce(lower(trim(lang)), '-') AS lang, unnest(regexp_extract_all(text, '[^.!?\n]+[.!?]*')) AS raw, generate_subscripts(regexp_extract_all(text, '[^.!?\n]+[.!?]*'), 1) - 1 AS pos FROM documents),
-s AS (SELECT doc_id, lang, pos, trim(regexp_replace(raw, '[ \t\n\f\r\x0b]+', ' ', 'g')) AS s FROM raw),
-kept AS (SELECT * FROM s WHERE len(string_split(s, ' ')) BETWEEN 8 AND 100 AND regexp_matches(s, '[.!?\p{L}\p{N}]$')),
-first AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, pos) AS r FROM kept)
-SELECT lang, count(*) AS segments, CAST(sum(length(s)) AS BIGINT) AS characters FROM first WHERE r = 1 GROUP BY lang""",
     "sentence_explode": r"SELECT text_id, CAST(generate_subscripts(regexp_extract_all(texts, '[^.!?\n]+[.!?]*'), 1) - 1 AS INTEGER) AS pos, CAST(length(unnest(regexp_extract_all(texts, '[^.!?\n]+[.!?]*'))) AS INTEGER) AS length FROM html_text_process",
-    "sentence_gaps": "SELECT text_id, true AS same FROM html_text_process WHERE texts IS NOT NULL",
-    "entity_counts_portable": "SELECT query_id, " + ", ".join(f"CAST(len(regexp_extract_all(src_text, '{p}')) AS INTEGER) AS {n}" for n, p in _PORTABLE.items()) + " FROM segments",
     "norm_capitals_english": "SELECT tm_id, " + functools.reduce(lambda s, n: f"regexp_replace({s}, '\\b{n}\\b', '{n.capitalize()}', 'g')", N.NAMES, "srctexts") + " AS out FROM tm_fileparser",
     "segment_word_len": f"WITH t AS (SELECT tm_id, {_FLAT} AS t FROM tm_fileparser), u AS (SELECT tm_id, trim(regexp_replace(t, '{_WS}+', ' ', 'g')) AS t FROM t) SELECT tm_id, CAST(len(string_split(t, ' ')) AS INTEGER) AS words FROM u WHERE t <> '' AND len(string_split(t, ' ')) BETWEEN 8 AND 100",
-    "segment_shape": f"WITH t AS (SELECT tm_id, {_FLAT} AS t FROM tm_fileparser) SELECT tm_id FROM t WHERE t <> '' AND (right(t, 1) IN ('.', '!', '?', '…', ':', ';') OR regexp_matches(t, '.[\\p{{L}}\\p{{N}}\\p{{M}}]$'))",
+    "segment_shape": f"WITH t AS (SELECT tm_id, {_FLAT} AS t FROM tm_fileparser) SELECT tm_id FROM t WHERE t <> '' AND (right(t, 1) IN (';', '.', '!', '?', ')', ']', '}}', '\"', '”') OR regexp_matches(t, '.[\\p{{L}}\\p{{N}}\\p{{M}}]$'))",
     "norm_spaces_latin": f"SELECT tm_id, regexp_replace(regexp_replace(srctexts, '{_WS_NO_NBSP}+', ' ', 'g'), '^{_WS}+|{_WS}+$', '', 'g') AS out FROM tm_fileparser",
     "norm_quotes_french": f"SELECT tm_id, regexp_replace(tgttexts, {_inner('«', '»', N.NBSP)}) AS out FROM tm_fileparser",
     "norm_brackets_latin": f"SELECT tm_id, regexp_replace(srctexts, {_inner('(', ')')}) AS out FROM tm_fileparser",

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["cleaning", "formats", "relations", "search"]
+MODULES = ["cleaning", "formats", "relations", "search", "equivalents"]
 
 
 def load() -> tuple[dict, dict]:
     queries, sql = {}, {}
     for name in MODULES:
         m = importlib.import_module(f"corploom.plans.{name}")
-        queries |= m.QUERIES
+        queries |= getattr(m, "QUERIES", {})
         sql |= m.SQL
     return queries, sql

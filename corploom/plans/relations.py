@@ -152,10 +152,7 @@ def similarity_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_levenshtein(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ASCII texts only, as other engines count bytes."""
-    a = F.regexp_replace("a", r"[^\x00-\x7f]", "")
-    b = F.regexp_replace("b", r"[^\x00-\x7f]", "")
-    return _pairs(spark, sf_dir).select("tm_id", F.round(Y.levenshtein(a, b), 6).alias("s"))
+    return _pairs(spark, sf_dir).select("tm_id", F.round(Y.levenshtein(F.col("a"), F.col("b")), 6).alias("s"))
 
 
 def similarity_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,14 +162,12 @@ def similarity_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_jaro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ASCII texts only, as other engines count bytes."""
-    a, b = (F.regexp_replace(c, r"[^\x00-\x7f]", "") for c in "ab")
-    return _pairs(spark, sf_dir).select("tm_id", F.round(Y.similarity(a, b, "jaro"), 6).alias("jaro"))
+    return _pairs(spark, sf_dir).select("tm_id", *[F.round(Y.similarity(F.col("a"), F.col("b"), m), 6).alias(m) for m in ("jaro", "jaro_winkler")])
 
 
 def similarity_python(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = F.col("a"), F.col("b")
-    return _pairs(spark, sf_dir).select("tm_id", *[F.round(Y.similarity(a, b, m), 6).alias(m) for m in ("damerau", "jaro", "jaro_winkler", "ratcliff_obershelp")])
+    return _pairs(spark, sf_dir).select("tm_id", *[F.round(Y.similarity(a, b, m), 6).alias(m) for m in ("damerau", "ratcliff_obershelp")])
 
 
 def match_form(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,8 +240,6 @@ n AS (SELECT *, CASE WHEN a = '' THEN 0 ELSE len(string_split(a, ' ')) END AS m,
 SELECT tm_id, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN round(least(m, n) / nullif(greatest(m, n), 0), 9) END AS words, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN round(least(length(a), length(b)) / nullif(greatest(length(a), length(b)), 0), 9) END AS chars, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN round(coalesce(least(length(a), length(b)) / nullif(greatest(length(a), length(b)), 0), 1.0), 9) END AS alike FROM n""",
     "similarity_sets": """WITH x AS (SELECT tm_id, srctexts AS a, tgttexts AS b, length(srctexts) AS m, length(tgttexts) AS n, coalesce(list_sum(list_transform(list_distinct(string_split(srctexts, '')), lambda c: least(length(srctexts) - length(replace(srctexts, c, '')), length(tgttexts) - length(replace(tgttexts, c, ''))))), 0) AS k FROM tm_fileparser)
 SELECT tm_id, CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 WHEN b IS NOT NULL THEN round(k / (m + n - k), 6) END AS jaccard, CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 WHEN b IS NOT NULL THEN round(2 * k / (m + n), 6) END AS sorensen_dice, CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 WHEN b IS NOT NULL THEN round(k / sqrt(m::DOUBLE * n), 6) END AS cosine FROM x""",
-    "similarity_jaro": r"WITH x AS (SELECT tm_id, regexp_replace(srctexts, '[^\x00-\x7f]', '', 'g') AS a, regexp_replace(tgttexts, '[^\x00-\x7f]', '', 'g') AS b FROM tm_fileparser) SELECT tm_id, round(CASE WHEN a = b THEN 1.0 WHEN a = '' OR b = '' THEN 0.0 ELSE jaro_similarity(a, b) END, 6) AS jaro FROM x",
-    "similarity_levenshtein": r"WITH x AS (SELECT tm_id, regexp_replace(srctexts, '[^\x00-\x7f]', '', 'g') AS a, regexp_replace(tgttexts, '[^\x00-\x7f]', '', 'g') AS b FROM tm_fileparser) SELECT tm_id, round(CASE WHEN a = '' AND b = '' THEN 1.0 ELSE 1 - levenshtein(a, b) / nullif(greatest(length(a), length(b)), 0) END, 6) AS s FROM x",
     "translate_number": f"SELECT o_orderkey, {_FR} AS out FROM orders",
     "translate_percent": f"SELECT o_orderkey, {_FR} || chr(160) || '%' AS out FROM orders",
     "translate_currency": f"SELECT o_orderkey, {_FR} || chr(160) || '$' AS out FROM orders",
