@@ -109,3 +109,11 @@ def file_name(number: Column, url: Column, lang: str, ending: str = ".html", ste
     """Six digits (more, if the number has more), the last part of the address cut to ``stem`` characters, language and ending."""
     n = number.cast("string")
     return F.concat(F.when(F.length(n) >= 6, n).otherwise(F.lpad(n, 6, "0")), F.lit("_"), F.substring(F.regexp_replace(last_segment(url), r"\.\w+$", ""), 1, stem), F.lit(f"_{lang.upper()}{ending}"))
+
+
+def fetched(pages: DataFrame, status: str = "http_status", asked: str | None = None, final: str | None = None) -> DataFrame:
+    """Pages that were fetched well (status 200) and, where both addresses are known, without a redirect. A null status is none."""
+    ok = F.col(status) == 200
+    if asked and final:
+        ok &= F.col(asked) == F.col(final)
+    return pages.where(ok)

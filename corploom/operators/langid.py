@@ -8,6 +8,7 @@ from collections import Counter
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from corploom.functions.normalize import cat_tags
 from corploom.functions.segment import chinese_system
 
 #: n-grams a language keeps (a bound of the model), and labelled rows that the fit reads (a documented bound).
@@ -79,3 +80,8 @@ def top_languages(spark, model: LanguageModel, n: int = 3):
 def refine_chinese(lang: Column, text: Column) -> Column:
     """zh as zhs or zht, if the text's characters tell."""
     return F.when(lang == "zh", F.coalesce(chinese_system(text), F.lit("zhs"))).otherwise(lang)
+
+
+def of_language(texts: DataFrame, text_col: str, lang: str, detect) -> DataFrame:
+    """Rows whose text, without translation-tool tags, is detected as ``lang``; null and blank texts are of none."""
+    return texts.where(detect(cat_tags(F.col(text_col))) == lang)

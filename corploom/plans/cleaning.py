@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corploom.functions import entities as E, normalize as N, segment as S
 from corploom.operators import cleaning as C
 from corploom.operators.relational import keep_first
-from corploom.session import table
+from corploom.session import spread, table
 
 T = F.col
 
@@ -22,7 +22,7 @@ def _language(column: str) -> F.Column:
 
 def clean_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: humanized sentences of the documents with 8 to 100 words and a sentence's shape, each once, counted by language."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", _language("lang").alias("lang"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", _language("lang").alias("lang")), "doc_id")
     first = keep_first(C.clean_by_language(docs, "doc_id", "text", "lang", PIPELINE_LANGUAGES), ["text"], ["doc_id", "pos"])
     return first.groupBy("lang").agg(F.count(F.lit(1)).alias("segments"), F.sum(F.length("text")).cast("long").alias("characters"))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from corploom.functions import entities as E, normalize as N, segment as S
+from corploom.plans.search import STOP
 
 Step = Callable[[str], str]
 WS = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x0b\x1c-\x1f]"
@@ -290,3 +291,22 @@ SELECT text_id, CAST(line_no AS INTEGER) AS line_no, section FROM s WHERE line_n
 SELECT url, list_sort(list_distinct(list_filter(list_concat(['Français', 'next', 'pdf'], x), lambda v: v <> ''))) AS lines FROM p WHERE url LIKE 'http%'""",
     "document_type": """SELECT crawl_id, CASE crawl_id % 3 WHEN 0 THEN 'word' WHEN 1 THEN 'none' ELSE 'pdf' END AS type FROM general_crawler WHERE src_url IS NOT NULL AND regexp_replace(trim(src_url), '[?#].*$', '') LIKE 'http%'""",
 }
+
+_FRENCH_APART: list[Step] = [*_APART[:4], sub(r"([lLdDjJnNmMtTsScC]|qu|Qu)(['’])(\p{L})", r"\1\2 \3", 2)]
+_split = lambda t: f"list_filter(string_split_regex({t}, '{WS}+'), lambda v: v <> '')"
+_BOTH = """SELECT query_id AS line_no, CASE WHEN lower(trim(src_lang)) = 'eng' THEN src_text ELSE tgt_text END AS src, CASE WHEN lower(trim(src_lang)) = 'eng' THEN tgt_text ELSE src_text END AS tgt FROM segments
+WHERE (lower(trim(src_lang)) = 'eng' AND lower(trim(tgt_lang)) = 'fra' OR lower(trim(src_lang)) = 'fra' AND lower(trim(tgt_lang)) = 'eng') AND src_text IS NOT NULL AND tgt_text IS NOT NULL"""
+_A = f"SELECT line_no, {_split('t')} AS src_tokens FROM ({staged('(' + _BOTH + ')', 'line_no', 'src', [*ENGLISH, lambda t: f'lower({t})', *_APART])})"
+_B = f"SELECT line_no, {_split('t')} AS tgt_tokens FROM ({staged('(' + _BOTH + ')', 'line_no', 'tgt', [*FRENCH, numbers_french, lambda t: f'lower({t})', *_FRENCH_APART])})"
+_STOP = ", ".join(f"'{w}'" for w in STOP)
+_WORDS = "d AS (SELECT query_id, coalesce(regexp_extract_all(lower(src_text), '[a-z0-9]+'), []) AS t FROM segments)"
+SQL |= {
+    "term_preprocess": f"SELECT line_no, src_tokens, tgt_tokens FROM (SELECT *, row_number() OVER (PARTITION BY src_tokens, tgt_tokens ORDER BY line_no) AS r FROM ({_A}) JOIN ({_B}) USING (line_no) WHERE len(src_tokens) > 0 AND len(tgt_tokens) > 0) WHERE r = 1",
+    "term_combo_basic": f"""WITH {_WORDS}, p AS (SELECT t, unnest(range(len(t))) AS i FROM d),
+g AS (SELECT array_to_string(t[i + 1 : i + n], ' ') AS term, CAST(n AS INTEGER) AS words, count(*) AS freq FROM p, range(1, 5) v(n) WHERE i + n <= len(t) AND len(list_filter(t[i + 1 : i + n], lambda w: NOT regexp_matches(w, '^\\p{{L}}+(?:-\\p{{L}}+)*$') OR w IN ({_STOP}))) = 0 GROUP BY 1, 2 HAVING count(*) >= 2),
+s AS (SELECT DISTINCT g.term AS whole, array_to_string(string_split(g.term, ' ')[i + 1 : i + k], ' ') AS term FROM g, range(1, 4) a(k), range(0, 4) b(i) WHERE k < words AND i + k <= words), x AS (SELECT s.* FROM s JOIN g USING (term))
+SELECT term, words, freq, round(words * ln(freq) + 0.75 * coalesce((SELECT count(*) FROM x WHERE x.term = g.term), 0) + 0.1 * coalesce((SELECT count(*) FROM x WHERE x.whole = g.term), 0), 6) AS score FROM g""",
+    "find_word_index": f"WITH {_WORDS} SELECT query_id, list_transform(list_filter(range(len(t)), lambda i: t[i + 1] = 'of' AND coalesce(t[i + 2], '') = 'the'), lambda i: CAST(i AS INTEGER)) AS pair, list_transform(list_filter(range(len(t)), lambda i: t[i + 1] = 'the'), lambda i: CAST(i AS INTEGER)) AS one FROM d",
+    "symmetrized_links": "SELECT p_partkey, array_to_string(list_transform(list_filter(range(5), lambda i: (p_size * ((p_partkey * (i + 3) + i) % 5 + 2) + (p_partkey * (i + 3) + i) % 5) % 5 = i), lambda i: i || '-' || ((p_partkey * (i + 3) + i) % 5)), ' ') AS kept, CAST(0 AS INTEGER) AS beyond FROM part",
+    "page_fetch_filter": "SELECT crawl_id FROM general_crawler WHERE http_status = 200",
+}

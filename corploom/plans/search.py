@@ -132,36 +132,60 @@ def document_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- alignment and terms ------------------------------------------------------------------------------------------------
 
 
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line_no, src, tgt): English and French sides of all search segments, whichever is the source."""
+    s, t = F.lower(F.trim("src_lang")), F.lower(F.trim("tgt_lang"))
+    rows = table(spark, sf_dir, "segments").where(((s == "eng") & (t == "fra")) | ((s == "fra") & (t == "eng")))
+    return rows.select(F.col("query_id").alias("line_no"), F.when(s == "eng", F.col("src_text")).otherwise(F.col("tgt_text")).alias("src"), F.when(s == "eng", F.col("tgt_text")).otherwise(F.col("src_text")).alias("tgt"))
+
+
 def _bitext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English and French tokens of the search segments; repeated pairs collapse to the first."""
-    token = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"(?U)[\p{L}\p{N}]+"), F.lit(0))
-    rows = table(spark, sf_dir, "segments").where("lower(src_lang) = 'eng' AND lower(tgt_lang) = 'fra' AND tgt_text IS NOT NULL")
     # written once: the alignment reads it several times
-    return cut(R.keep_first(rows.select(F.col("query_id").alias("line_no"), token("src_text").alias("src_tokens"), token("tgt_text").alias("tgt_tokens")), ["src_tokens", "tgt_tokens"], ["line_no"]))
+    return cut(A.preprocess(_pairs(spark, sf_dir), "line_no", "src", "tgt", "eng", "fra"))
 
 
-def _links(pairs: DataFrame) -> DataFrame:
-    forward = A.align(pairs, A.lexical_table(pairs, rounds=4))
-    turned = pairs.select("line_no", F.col("tgt_tokens").alias("src_tokens"), F.col("src_tokens").alias("tgt_tokens"))
-    back = A.align(turned, A.lexical_table(turned, rounds=4)).select("line_no", F.transform("links", lambda x: F.struct(x["j"].alias("i"), x["i"].alias("j"))).alias("back"))
-    return cut(forward.join(back, "line_no").select("line_no", A.symmetrize("links", "back").alias("links")))
+def term_preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs that the term pipeline aligns, with their humanized tokens."""
+    return A.preprocess(_pairs(spark, sf_dir), "line_no", "src", "tgt", "eng", "fra")
 
 
 def word_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _links(_bitext(spark, sf_dir)).select("line_no", A.format_links(F.col("links")).alias("links"))
+    return A.both_ways(_bitext(spark, sf_dir)).select("line_no", A.format_links(F.col("links")).alias("links"))
 
 
 def term_combo_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = A.term_candidates(_bitext(spark, sf_dir), "src_tokens", STOP)
-    return terms.select("term", "words", "freq", F.round("score", 6).alias("score"))
+    """ComboBasic scores of all candidates of the segments' portable tokens."""
+    return A.term_candidates(_docs(spark, sf_dir), "tokens", STOP).select("term", "words", "freq", F.round("score", 6).alias("score"))
 
 
 def term_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 500 best source terms carried to the target side, the best score of each source."""
-    pairs = _bitext(spark, sf_dir)
-    terms = cut(A.top_terms(A.term_candidates(pairs, "src_tokens", STOP), 500))
-    found = A.project_terms(pairs, _links(pairs), terms)
-    return R.keep_first(found, ["source"], [-F.col("score"), "target"]).select("source", "target", F.round("score", 6).alias("score"))
+    """The 2,000 best source terms carried to the target side, the best score of each source."""
+    return A.extract_terms(_pairs(spark, sf_dir), "line_no", "src", "tgt", "eng", "fra", STOP).select("source", "target", F.round("score", 6).alias("score"))
+
+
+def find_word_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of two terms among the tokens of every segment."""
+    docs = _docs(spark, sf_dir)
+    return docs.select("query_id", A.occurrences(F.col("tokens"), "of the").alias("pair"), A.occurrences(F.col("tokens"), "the").alias("one"))
+
+
+def symmetrized_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sets of links made of the parts' keys: their intersection is kept, and nothing is added that neither has."""
+    n, k = F.col("p_partkey"), F.col("p_size")
+    link = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    f = F.array(*[link(F.lit(i), (n * (i + 3) + i) % 5) for i in range(5)])
+    b = F.array(*[link((k * (j + 2) + j) % 5, F.lit(j)) for j in range(5)])
+    return table(spark, sf_dir, "part").select("p_partkey", A.format_links(F.array_intersect(A.symmetrize(f, b), F.array_intersect(f, b))).alias("kept"), F.size(F.array_except(A.symmetrize(f, b), F.array_union(f, b))).alias("beyond"))
+
+
+def language_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Memory sources that are detected as English; the detector is fitted on the cleaning table."""
+    known = table(spark, sf_dir, "html_text_process").where("stage = 'segment'")
+    return L.of_language(table(spark, sf_dir, "tm_fileparser").select("tm_id", "srctexts"), "srctexts", "eng", L.detector(spark, L.fit(known, "texts", "lang"))).select("tm_id")
+
+
+def page_fetch_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.fetched(table(spark, sf_dir, "general_crawler")).select("crawl_id")
 
 
 def term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +209,7 @@ _D = "d AS (SELECT query_id, regexp_extract_all(lower(src_text), '[a-z0-9]+') AS
 _IDF = "n AS (SELECT count(*) AS n, sum(len(t)) / count(*) AS avg FROM d), r AS (SELECT term, count(*) AS df, ln((n - count(*) + 0.5) / (count(*) + 0.5)) AS raw FROM tf, n GROUP BY term, n), idf AS (SELECT term, df, CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM r) ELSE raw END AS idf FROM r)"
 _P = "p AS (SELECT crawl_id, regexp_replace(trim(src_url), '[?#].*$', '') AS url, coalesce(tgt_url, '#') AS other FROM general_crawler WHERE src_url IS NOT NULL AND regexp_replace(trim(src_url), '[?#].*$', '') LIKE 'http%'), h AS (SELECT *, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1)) AS host, regexp_replace(trim(other), '#.*$', '') AS bare FROM p)"
 _E = _P + ", e AS (SELECT url AS src_url, CASE WHEN bare LIKE 'http://%' OR bare LIKE 'https://%' THEN bare WHEN regexp_matches(bare, '^[A-Za-z][A-Za-z0-9_+.-]*:') THEN NULL WHEN bare LIKE '/%' THEN host || bare WHEN bare <> '' THEN regexp_replace(url, '([^/:])/[^/]*$', '\\1/') || bare END AS dst_url FROM h UNION SELECT url, host || '/en/page-' || (crawl_id % 40) FROM h UNION SELECT url, host || '/en/page-' || ((crawl_id * 7) % 40) || '.pdf' FROM h), edges AS (SELECT DISTINCT * FROM e WHERE dst_url IS NOT NULL)"
-QUERIES = {f.__name__: f for f in (bm25_stats, bm25_topk, count_cosine_best_match, knn_cosine_topk, knn_recall, vector_repair, embedding_search, advanced_projection, anchor_edges, url_filter, url_parts, bfs_reachability, pair_by_rule, pair_by_anchor, visible_text, document_type, word_alignment, term_combo_basic, term_pairs, term_counts, language_detection, language_metrics)}
+QUERIES = {f.__name__: f for f in (bm25_stats, bm25_topk, count_cosine_best_match, knn_cosine_topk, knn_recall, vector_repair, embedding_search, advanced_projection, anchor_edges, url_filter, url_parts, bfs_reachability, pair_by_rule, pair_by_anchor, visible_text, document_type, term_preprocess, word_alignment, term_combo_basic, term_pairs, find_word_index, symmetrized_links, language_filter, page_fetch_filter, term_counts, language_detection, language_metrics)}
 SQL = {
     "bm25_stats": f"WITH {_D}, {_IDF} SELECT term, df, round(idf, 6) AS idf FROM idf",
     "bm25_topk": f"""WITH {_D}, {_IDF}, w AS (SELECT tf.query_id, tf.term, idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len(t) / avg)) AS w FROM tf JOIN idf USING (term) JOIN d USING (query_id), n),

@@ -45,7 +45,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir():
         return
     where = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(where or tempfile.mkdtemp(prefix="corploom-checkpoint-"))
+    if where is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        where = tempfile.mkdtemp(prefix="corploom-checkpoint-")
+    spark.sparkContext.setCheckpointDir(where)
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -54,6 +58,15 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows by the hash of a key over all cores, if the frame has fewer partitions than there are cores; else as they are.
+
+    For costly steps over a file of few row groups. A table of more splits than cores is never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a scale directory."""
     ship(spark)

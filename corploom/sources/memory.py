@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corploom.sources.sheets import read_pairs
+from corploom.sources.sheets import read_pairs, write_xlsx
 from corploom.sources.text import read_parallel
 
 _TEXT = "STRUCT<_VALUE: STRING>"
@@ -101,3 +101,8 @@ def write_tmx(pairs: DataFrame, path: str, src_lang: str, tgt_lang: str, src: st
 
     whole = pairs.select(F.col(src).alias("src"), F.col(tgt).alias("tgt")).where("src IS NOT NULL AND tgt IS NOT NULL")
     whole.mapInPandas(document, "value string").write.mode("overwrite").text(path)
+
+
+def mxliff_to_xlsx(spark: SparkSession, paths, out: str, origins: list[str] | None = None) -> None:
+    """A workbook of the source and target of all units (or those of the given origins), in the order of the file."""
+    write_xlsx({"Sheet1": by_origin(read_mxliff(spark, paths), origins).orderBy("file", "unit").select(F.col("src").alias("source"), F.col("tgt").alias("target"))}, out)

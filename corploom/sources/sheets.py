@@ -130,7 +130,7 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_xlsx(sheets: dict[str, DataFrame], path: str, most_rows: int = 1_048_575) -> None:
-    """A small workbook with the columns' names as first rows. A sheet can't hold more than ``most_rows`` rows: larger frames raise."""
+    """A workbook with the columns' names as first rows, written by the driver row by row. A sheet can't hold more than ``most_rows`` rows: larger frames raise."""
     from xml.sax.saxutils import escape
 
     def letters(i: int) -> str:
@@ -141,18 +141,22 @@ def write_xlsx(sheets: dict[str, DataFrame], path: str, most_rows: int = 1_048_5
             out = chr(65 + r) + out
         return out
 
-    def xml(df: DataFrame) -> str:
-        if df.limit(most_rows + 1).count() > most_rows:
-            raise ValueError("too many rows for a sheet; write CSV or Parquet")
-        body = []
-        for i, row in enumerate([tuple(df.columns), *map(tuple, df.collect())], 1):
-            cs = []
-            for j, v in enumerate(row):
-                if v is not None:
-                    r = f"{letters(j)}{i}"
-                    cs.append(f'<c r="{r}"><v>{v}</v></c>' if isinstance(v, int | float) and not isinstance(v, bool) else f'<c r="{r}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>')
-            body.append(f'<row r="{i}">{"".join(cs)}</row>')
-        return f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{_NS[1:-1]}"><sheetData>{"".join(body)}</sheetData></worksheet>'
+    def line(i: int, row: tuple) -> str:
+        cs = []
+        for j, v in enumerate(row):
+            if v is not None:
+                r = f"{letters(j)}{i}"
+                cs.append(f'<c r="{r}"><v>{v}</v></c>' if isinstance(v, int | float) and not isinstance(v, bool) else f'<c r="{r}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>')
+        return f'<row r="{i}">{"".join(cs)}</row>'
+
+    def xml(df: DataFrame, out) -> None:
+        # partition by partition, so that the driver never holds a sheet
+        out.write(f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{_NS[1:-1]}"><sheetData>{line(1, tuple(df.columns))}'.encode())
+        for i, row in enumerate(df.toLocalIterator(), 2):
+            if i > most_rows + 1:
+                raise ValueError("too many rows for a sheet; write CSV or Parquet")
+            out.write(line(i, tuple(row)).encode())
+        out.write(b"</sheetData></worksheet>")
 
     names = list(sheets)
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
@@ -161,4 +165,5 @@ def write_xlsx(sheets: dict[str, DataFrame], path: str, most_rows: int = 1_048_5
         z.writestr("xl/workbook.xml", f'<?xml version="1.0"?><workbook xmlns="{_NS[1:-1]}" xmlns:r="{_REL[1:-1]}"><sheets>' + "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(names, 1)) + "</sheets></workbook>")
         z.writestr("xl/_rels/workbook.xml.rels", '<?xml version="1.0"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="rId{i}" Type="{_REL[1:-1]}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1)) + "</Relationships>")
         for i, n in enumerate(names, 1):
-            z.writestr(f"xl/worksheets/sheet{i}.xml", xml(sheets[n]))
+            with z.open(f"xl/worksheets/sheet{i}.xml", "w") as part:
+                xml(sheets[n], part)

@@ -65,6 +65,26 @@ def test_segments(spark):
     assert run(spark, S.is_sentence, "x.", "x-", "x9", "x_", "") == [True, False, True, False, False]
 
 
+@pytest.mark.parametrize("lang,yes,no", [("eng", ["a;", "a.", "a!", "a?", "(a)", "[a]", "{a}", 'a"', "a”", "ab", "a1"], ["a:", "a…", "a,", "a_", "a»", "", "x", " "]), ("fra", ["a»"], ["a:"]), ("deu", ["a“"], ["a”"]), ("jpn", ["a。", "a」", "a？"], ["a.", "a?"]), ("ara", ["a؛", "a۔"], ["a؟", "a."]), ("zhs", ["a。", "a）"], ["a)"]), ("hin", ["a|"], ["a.", "a।"])])
+def test_final_marks(spark, lang, yes, no):
+    """A final mark of the language, or a letter or digit after another character."""
+    got = run(spark, lambda c: S.is_sentence(c, lang), *yes, *no, None)
+    assert got == [True] * len(yes) + [False] * len(no) + [None]
+
+
+def test_gaps_in_and_out_of_order(spark):
+    df = spark.createDataFrame([(1, "a b a", ["a", "b", "a"]), (2, "a b", ["b", "a"]), (3, "", []), (4, None, ["a"]), (5, "x a", ["a"]), (6, "ab", [])], "i int, t string, p array<string>")
+    assert [r[0] for r in df.orderBy("i").select(S.gaps(F.col("t"), F.col("p"))).collect()] == [["", " ", " ", ""], None, [""], None, ["x ", ""], ["ab"]]
+
+
+def test_humanize_by_language(spark):
+    df = spark.createDataFrame([(1, "eng", "in january , « a »"), (2, "fra", "« a » :b"), (3, "xxx", "<b>a</b> , b"), (4, None, None)], "id int, l string, t string")
+    chains = [(F.col("l") == x, x) for x in ("eng", "fra", "jpn")]
+    got = {r["id"]: r["t"] for r in N.humanize_by_language(df, "t", chains).collect()}
+    one = {lang: {r["id"]: r["t"] for r in N.humanize_table(df, "t", lang).collect()} for lang in ("eng", "fra", "xxx")}
+    assert got == {1: one["eng"][1], 2: one["fra"][2], 3: one["xxx"][3], 4: None}
+
+
 def test_gaps_rebuild_the_text(spark):
     df = spark.createDataFrame([("  A b.  C d! ",), ("",), (None,)], "t string").withColumn("p", S.sentences(F.col("t"))).withColumn("g", S.gaps(F.col("t"), F.col("p")))
     assert [r[0] for r in df.select(S.rebuild(F.col("p"), F.col("g"))).collect()] == ["  A b.  C d! ", "", None]

@@ -168,3 +168,47 @@ def test_language_identification(spark):
     test = spark.createDataFrame([("the weather is good",), ("le temps est beau",), ("",), (None,)], "t string")
     assert [r[0] for r in test.select(L.detector(spark, model)(F.col("t"))).collect()] == ["en", "fr", None, None]
     assert test.select(L.top_languages(spark, model, 2)(F.col("t"))).first()[0] == ["en", "fr"]
+
+
+def test_keep_first_of_hot_and_null_keys(spark):
+    df = spark.createDataFrame([(i, "same" if i % 3 else None, i % 5, "x") for i in range(200)], "i int, k string, o int, _extra string").repartition(7)
+    got = {r["k"]: (r["i"], r["o"]) for r in R.keep_first(df, ["k"], ["o", "i"]).collect()}
+    assert got == {"same": (5, 0), None: (0, 0)} and R.keep_first(df, ["k"], ["o", "i"]).columns == df.columns
+    assert {r["k"]: r["i"] for r in R.keep_first(df, ["k"], [F.col("o").desc(), F.desc("i")]).collect()} == {"same": 199, None: 189}
+    assert R.keep_first(df.limit(0), ["k"], ["i"]).count() == 0
+    assert R.keep_first(df, ["k", "o"], ["i"]).count() == 10
+
+
+def test_fetched_pages_and_language_filter(spark):
+    pages = spark.createDataFrame([(1, 200, "a", "a"), (2, 404, "a", "a"), (3, None, "a", "a"), (4, 200, "a", "b"), (5, 200, "a", None)], "id int, http_status int, u string, f string")
+    assert {r["id"] for r in W.fetched(pages).collect()} == {1, 4, 5} and {r["id"] for r in W.fetched(pages, asked="u", final="f").collect()} == {1}
+    texts = spark.createDataFrame([(i, "the cat and the dog of the town", "eng") for i in range(9)] + [(10 + i, "le chat et le chien de la ville", "fra") for i in range(9)] + [(30, "{1>the dog of the town<1}", None), (31, None, None), (32, " ", None)], "id int, t string, l string")
+    assert {r["id"] for r in L.of_language(texts, "t", "eng", L.detector(spark, L.fit(texts, "t", "l"))).collect()} == {*range(9), 30}
+
+
+def test_long_pairs_train(spark):
+    """Words that stand in long segments only get probabilities, and every word's sum to one."""
+    long = (["cat"] * 3 + ["dog"] * 3) * 10
+    df = spark.createDataFrame([(1, long, [{"cat": "chat", "dog": "chien"}[w] for w in long]), (2, ["house"], ["maison"]), (3, ["cat"], ["chat"]), (4, [], ["x"])], "line_no int, src_tokens array<string>, tgt_tokens array<string>")
+    got = {(r["e"], r["f"]): r["p"] for r in A.lexical_table(df, most_tokens=8, rounds=6).collect()}
+    assert got["dog", "chien"] > 0.6 > got["dog", "chat"] and got["cat", "chat"] > 0.6 and got["house", "maison"] > 0.6  # one chunk alone would leave no dog
+    for e in ("cat", "dog", ""):
+        assert sum(p for (x, _), p in got.items() if x == e) == pytest.approx(1.0)
+
+
+def test_term_pipeline(spark, tmp_path):
+    pairs = spark.createDataFrame([(i, f"The water pump of {n} is old.", f"La pompe à eau de {n} est vieille.") for i, n in enumerate(["Lod", "Mir", "Tas", "Gov", "Bek", "Zul"] * 3)] + [(90 + i, f"The old {n} is here.", f"Le vieux {n} est ici.") for i, n in enumerate(["pont", "lac"] * 4)] + [(99, None, "x"), (98, "", "y")], "id int, s string, t string")
+    terms = A.extract_terms(pairs, "id", "s", "t", "eng", "fra", ["the", "of", "is"])
+    rows = terms.collect()
+    assert {r["source"] for r in rows} >= {"pump"} and len({r["source"] for r in rows}) == len(rows)
+    A.write_terms(terms, str(tmp_path / "terms"))
+    assert spark.read.csv(str(tmp_path / "terms"), header=True).count() == len(rows)
+    assert A.extract_terms(pairs.limit(0), "id", "s", "t", "eng", "fra", []).count() == 0
+
+
+def test_spread(spark):
+    from corploom.session import spread
+
+    few, many = spark.range(100).coalesce(1), spark.range(100).repartition(9)
+    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(many, "id") is many
+    assert spread(few, "id").count() == 100
