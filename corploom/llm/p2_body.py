@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corploom.llm.p1_lines import site_of
 from corploom.operators.skew import hash_sample, hot_limit
-from corploom.session import cut, table
+from corploom.session import cut, spread, table
 
 STANDING_PAGES, STANDING_SHARE = 3, 0.03
 #: Letters of a standing line at least: shorter ones are known by their words.
@@ -507,7 +507,7 @@ def label_pages(pages: DataFrame, id_col: str = "crawl_id") -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return label_pages(table(spark, sf_dir, "general_crawler"))
+    return label_pages(spread(table(spark, sf_dir, "general_crawler").select("crawl_id", *COLUMNS), "crawl_id"))
 
 
 def p2_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corploom.operators.skew import hash_sample
-from corploom.session import table
+from corploom.session import spread, table
 
 FIT_TEXTS = 6_000
 # Common abbreviations that don't end a sentence before a capital or digit.
@@ -480,7 +480,7 @@ def segment_texts(texts: DataFrame, id_col: str = "text_id", text_col: str = "te
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment_texts(table(spark, sf_dir, "html_text_process").where("stage = 'segment'"))
+    return segment_texts(spread(table(spark, sf_dir, "html_text_process").where("stage = 'segment'").select("text_id", "texts", "lang"), "text_id"))
 
 
 def p3_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:

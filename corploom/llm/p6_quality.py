@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corploom.operators.skew import hot_key_join
-from corploom.session import cut, table
+from corploom.session import cut, spread, table
 
 COMMON = 30
 #: Different values of a range partition, and rows of a counted table that may be broadcast.
@@ -250,7 +250,7 @@ def no_prose(texts: DataFrame) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return no_prose(table(spark, sf_dir, "html_text_process")).select("text_id", "kind")
+    return no_prose(spread(table(spark, sf_dir, "html_text_process").select("text_id", "lang", "texts"), "text_id")).select("text_id", "kind")
 
 
 def p6_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corploom.session import cut, table
+from corploom.session import cut, spread, table
 
 SHINGLE = 5
 #: A run may hold one changed word in so many.
@@ -203,7 +203,7 @@ def find_leaks(docs: DataFrame, evals: DataFrame, doc_id: str = "doc_id", text:
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return find_leaks(spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"), table(spark, sf_dir, "eval_items"))
 
 
 def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
