@@ -445,15 +445,7 @@ class Segmenter:
         return out
 
     def _decide(self, t: Text, place: int, what: str, start: int) -> bool:
-        nxt = t.text[place : place + 1]
-        if what == "mark" and nxt and not nxt.isspace():
-            k, last = kind(nxt), t.text[place - 1]
-            if nxt in ",;:،；：、%)" or k in "l9D" and last in ".…" or k == "l" or k in "P_" and last == ".":
-                return False
-            if last == "." and k == "U":
-                token = _TOKEN_BEFORE.search(t.text[max(0, place - 31) : place - 1]).group(1)
-                if len(token.strip("(\"'«“")) < 2 or "." in token.strip(".") and not token[-1:].islower() or not t.text[place + 1 : place + 2].islower() and t.text[place + 1 : place + 2] not in " '’":
-                    return False
+        """The model's decision, whatever the candidate."""
         if what == "line":
             return self.probability(t.line_features(place, start, self.never)) >= 0.5
         traits = t.traits(place, what, start)
