@@ -16,6 +16,7 @@ have no standing lines. Repeated rows are labelled each.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from array import array
@@ -433,7 +434,11 @@ def batch(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, Bag]:
 
 
 def chunks(batches: Iterator[pd.DataFrame], rows: int = 512) -> Iterator[pd.DataFrame]:
-    """Arrow batches in parts of so many pages, which bounds what a worker holds."""
+    """Arrow batches in parts of so many pages, which bounds what a worker holds.
+
+    A part is hundreds of thousands of small lists without cycles, which the collector of cycles would walk again and again.
+    """
+    gc.set_threshold(500_000)
     for pdf in batches:
         for a in range(0, len(pdf), rows):
             yield pdf.iloc[a : a + rows]
