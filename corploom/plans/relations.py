@@ -171,8 +171,10 @@ def similarity_python(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "tm_fileparser").where("src_lang = 'eng' AND tgt_lang = 'fra'")
-    return M.match_forms(df.select("tm_id", "srctexts", "tgttexts"), "srctexts", "tgttexts").select("tm_id", "out")
+    """Targets of the memory in the form of their sources, in both directions."""
+    df = table(spark, sf_dir, "tm_fileparser").select("tm_id", "src_lang", "tgt_lang", "srctexts", "tgttexts")
+    ways = [M.match_forms(df.where((F.lower("src_lang") == a) & (F.lower("tgt_lang") == b)), "srctexts", "tgttexts", ref=a, tgt=b).select("tm_id", "out") for a, b in (("eng", "fra"), ("fra", "eng"))]
+    return ways[0].unionByName(ways[1])
 
 
 def _numbers(spark: SparkSession, sf_dir: str) -> DataFrame:

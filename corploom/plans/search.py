@@ -53,7 +53,7 @@ def knn_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _vectors(spark, sf_dir)
     asked = v.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("v"))
     exact = Q.knn(v, asked, "vec_id", "embedding", "q", "v", 5).select("q", "vec_id")
-    near = Q.knn_approximate(v, asked, "vec_id", "embedding", "q", "v", 5, bits=4, tables=24).select("q", "vec_id", F.lit(1).alias("hit"))
+    near = Q.knn_approximate(v, asked, "vec_id", "embedding", "q", "v", 5).select("q", "vec_id", F.lit(1).alias("hit"))
     return exact.join(near, ["q", "vec_id"], "left").agg(F.round(F.avg(F.coalesce("hit", F.lit(0))), 4).alias("recall"))
 
 

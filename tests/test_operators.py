@@ -212,3 +212,19 @@ def test_spread(spark):
     few, many = spark.range(100).coalesce(1), spark.range(100).repartition(9)
     assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(many, "id") is many
     assert spread(few, "id").count() == 100
+
+
+def test_approximate_neighbours(spark):
+    import numpy as np
+
+    r = np.random.RandomState(1)
+    centres = r.randn(8, 16)
+    rows = [(i, [float(x) for x in centres[i % 8] + 0.1 * r.randn(16)]) for i in range(400)] + [(1000 + i, [1.0] + [0.0] * 15) for i in range(200)] + [(5000, None), (5001, [0.0] * 16)]
+    v = spark.createDataFrame(rows, "id long, v array<double>")
+    asked = v.where("id % 50 = 0 AND v IS NOT NULL").selectExpr("id AS q", "v AS w")
+    exact = {(x["q"], x["id"]) for x in Q.knn(v, asked, "id", "v", "q", "w", 5).collect()}
+    near = {(x["q"], x["id"]) for x in Q.knn_approximate(v, asked, "id", "v", "q", "w", 5, share=0.2).collect()}
+    assert len(exact & near) >= 0.9 * len(exact) and len(near) == len(exact)
+    whole = {(x["q"], x["id"]) for x in Q.knn_approximate(v, asked, "id", "v", "q", "w", 5, share=1.0).collect()}
+    assert whole == exact
+    assert Q.knn_approximate(v.limit(0), asked, "id", "v", "q", "w").count() == 0 and Q.knn_approximate(v, asked.limit(0), "id", "v", "q", "w").count() == 0
