@@ -6,7 +6,7 @@ their place, and the sum of all words of the line), and document-wide context (w
 addresses of the site). It gives each block the probability of body.
 
 Corpus-wide counts give the standing lines: (site, line) pairs on three or more pages, two or more addresses and 3 % of the
-site's pages; as a page has few lines, a site has at most lines-per-page / 0.03 of them. Pages get them by a broadcast if
+site's pages. The share bounds a site's list: as a page has few lines, it has at most lines-per-page / 0.03 of them. Pages get them by a broadcast if
 their counted number is small, so that texts stay where they are; else big sites by a broadcast, the others by a shuffle. The network is fitted on at most ``FIT_PAGES`` pages (by hash of the id; a documented bound), labelled by rules for
 clear cases only (cue phrases, recurring lines, full sentences, the page's own heading); unclear lines carry little weight.
 
@@ -87,17 +87,19 @@ def page_path(url: Column) -> Column:
 
 
 def site_standing(pages: DataFrame) -> DataFrame:
-    """(site, n, standing array<long>): number of the site's sides, and hashes of the lines that stand on them; sites with such lines only."""
+    """(site, n, standing array<long>): number of the site's pages, and hashes of the lines that stand on them, of either side; sites with such lines only."""
     # both sides of a page are one address, so that untranslated copies that are crawled again don't stand
     address = F.xxhash64(F.least(page_path(F.col("src_url")), page_path(F.col("tgt_url"))))
     sides = [pages.select(site_of(F.coalesce(F.col(u), F.col(v))).alias("site"), address.alias("address"), F.col(t).alias("text")) for u, v, t in (("src_url", "tgt_url", "src_content"), ("tgt_url", "src_url", "tgt_content"))]
     whole = sides[0].unionByName(sides[1]).where("site IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    sizes = whole.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
+    # pages are counted without reading their texts
+    sizes = pages.select(site_of(F.coalesce("src_url", "tgt_url")).alias("site")).where("site IS NOT NULL").groupBy("site").agg(F.count(F.lit(1)).alias("n"))
     # the letters of the whole text, line by line, then the keys of the page's different lines
     lines = F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\n]+", ""), "\n"), lambda x: F.length(x) >= STANDING_LETTERS)
     keys = whole.select("site", "address", F.explode(F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))).alias("key"))
     counts = keys.groupBy("site", "key").agg(F.count(F.lit(1)).alias("pages"), F.min("address").alias("a"), F.max("address").alias("b")).where((F.col("pages") >= STANDING_PAGES) & (F.col("a") != F.col("b")))
-    return counts.join(sizes, "site").where(F.col("pages") >= STANDING_SHARE * F.col("n")).groupBy("site").agg(F.first("n").alias("n"), F.collect_list("key").alias("standing"))
+    known = counts.join(sizes, "site", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return known.where(F.col("pages") >= STANDING_SHARE * F.col("n")).groupBy("site").agg(F.first("n").alias("n"), F.collect_list("key").alias("standing"))
 
 
 _word_ids: dict[str, int] = {}
@@ -477,7 +479,7 @@ class Standing:
 
     def __init__(self, pages: DataFrame) -> None:
         self.table = cut(site_standing(pages))
-        self.keys, self.sides = self.table.agg(F.coalesce(F.sum(F.size("standing")), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        self.keys, self.pages = self.table.agg(F.coalesce(F.sum(F.size("standing")), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     def of(self, pages: DataFrame, id_col: str = "crawl_id") -> DataFrame:
         """(crawl_id, urls, contents, site, standing) of every page. The texts stay where they are if the counted keys are few; else only those of small sites are shuffled."""
@@ -485,7 +487,7 @@ class Standing:
         lines = self.table.select("site", "standing")
         if self.keys <= SMALL_KEYS:
             return rows.join(F.broadcast(lines), "site", "left")
-        hot = F.broadcast(lines.join(self.table.where(F.col("n") >= hot_limit(self.sides)).select("site"), "site"))
+        hot = F.broadcast(lines.join(self.table.where(F.col("n") >= hot_limit(self.pages)).select("site"), "site"))
         cold = rows.where("site IS NOT NULL").join(hot.select("site"), "site", "left_anti").join(lines, "site", "left")
         none = rows.where("site IS NULL").withColumn("standing", F.lit(None).cast("array<long>"))
         return rows.join(hot, "site").unionByName(cold).unionByName(none)
