@@ -193,6 +193,56 @@ def test_the_path_decides():
     assert len(aligner.choose(swapped, swapped, [10] * 2, [10] * 2)) == 1
 
 
+def test_words_outside_the_fit_pages(spark, monkeypatch):
+    """Translations are counted over all pages: words that the few fit pages lack are known, also where the translations are too many for a broadcast."""
+    r = random.Random(5)
+    word = lambda cs: "".join(r.choice(cs) + r.choice("aeiou") for _ in range(4))
+    terms = [(word("bdgk"), word("lmnr")) for _ in range(400)]
+    named, plain = ("The {0} of {N} and of {M} saw the {1} of {O}.", "Le {0} de {N} et de {M} a vu le {1} de {O}."), ("The {0} and the {1} will have the {2} of the {3}.", "Le {0} et le {1} ont dans le {2} de le {3}.")
+    rows, truth = [], set()
+    for i in range(300):
+        lines = []
+        for k in range(8):
+            ts, names = [r.choice(terms) for _ in range(4)], {x: word("pstz").capitalize() for x in "NMO"}
+            lines.append([(named, plain)[k % 2][side].format(*(t[side] for t in ts), **names) for side in (0, 1)])
+        order = r.sample(range(8), 8) if i % 3 == 0 else range(8)
+        src, tgt = [x for x, _ in lines], [lines[k][1] for k in order]
+        rows.append((i, f"http://s{i % 5}.example/en/{i}", "\n".join(src), f"http://s{i % 5}.example/fr/{i}", "\n".join(tgt)))
+        truth |= {(i, sum(len(x) + 1 for x in src[:k]), sum(len(x) + 1 for x in tgt[:j])) for j, k in enumerate(order) if k % 2}
+    pages = spark.createDataFrame(rows, "crawl_id long, src_url string, src_content string, tgt_url string, tgt_content string")
+    monkeypatch.setattr(P2, "FIT_PAGES", 8)
+    got = {tuple(x) for x in P5.align_pages(pages).collect()}
+    assert len(got & truth) > 0.95 * len(truth)
+    monkeypatch.setattr(P5, "SMALL_LEXICON", -1)
+    assert {tuple(x) for x in P5.align_pages(pages).collect()} == got
+
+
+def test_expected_counts_against_brute_force(monkeypatch):
+    start = P5.Aligner.of({}, {}, {"a": {"x": (0.6, 0.5), "y": (0.2, 0.0)}, "b": {"x": (0.1, 0.3)}})
+    pairs = [(["a", "b", "c", "c"], ["x", "y", "z"]), (["a", "d"], ["z", "w", "x"]), (["c"], ["z"]), (["b"], ["x"])] * 3
+    cells, alone = {}, {}
+    for es, fs in ((set(e), set(f)) for e, f in pairs):
+        for key in [(e, None) for e in es] + [(None, f) for f in fs] + [(None, None)]:
+            alone[key] = alone.get(key, 0) + 1
+        listed = {(e, f): [max(p, P5.LEAST_PROBABLE / 4) for p in ps] for e, x in (("a", {"x": (0.6, 0.5), "y": (0.2, 0.0)}), ("b", {"x": (0.1, 0.3)})) for f, ps in x.items() if e in es and f in fs}
+        ue, uf = es - {e for e, _ in listed}, fs - {f for _, f in listed}
+        for e, f in [*listed, *((e, f) for e in ue for f in uf)]:
+            if (e, f) in listed:
+                now = listed[e, f][0] / sum(p[0] for (_, y), p in listed.items() if y == f), listed[e, f][1] / sum(p[1] for (x, _), p in listed.items() if x == e)
+            else:
+                now = 1 / (len(ue) + 1), 1 / (len(uf) + 1)
+            cells[e, f] = [x + y for x, y in zip(cells.get((e, f), (0, 0, 0)), (*now, 1))]
+    for held in (10**6, 5):  # also where the sums are made again and again
+        monkeypatch.setattr(P5, "HELD_COUNTS", held)
+        counts = P5.Counts(start)
+        for k in range(0, 12, 4):
+            counts.add(pairs[k : k + 4])
+        got = {(r.e, r.f): [r.forward, r.backward, r.seen] for r in counts.rows().itertuples()}
+        assert {k: v[2] for k, v in got.items() if None in k} == alone
+        assert {k for k in got if None not in k} == set(cells) and all(got[k] == pytest.approx(v, rel=1e-5) for k, v in cells.items())
+        assert len(counts.rows()) == 0
+
+
 def test_standing_lines_by_shuffle(spark, monkeypatch):
     pdf = make_pages(60)
     schema = "crawl_id long, src_url string, src_content string, tgt_url string, tgt_content string"
