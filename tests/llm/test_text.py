@@ -427,6 +427,35 @@ def test_one_fit_at_every_size_without_copies():
     assert P9.fit(examples, [], []).weights == P9.Subjects(examples).weights
 
 
+def test_every_document_teaches_its_terms(spark, monkeypatch):
+    """Terms that only few of all documents hold are learned from all of them; the counts of the tasks make the model that is fitted in memory."""
+    r = random.Random(6)
+    terms = {"a": ["alpha ray", "beta ray"], "b": ["gamma rule", "delta rule"]}
+    make = lambda d, more="": " ".join(f"People of {r.choice('uvwxyz') * 4} saw the {r.choice(terms[d])} again{more}." for _ in range(4))
+    examples = [(i, d, make(d)) for i, d in enumerate("ab" * 25)]
+    texts = [make("ab"[i % 2]) for i in range(192)] + [make("a", " at the sigma lake") for _ in range(8)] + ["The man saw the sigma lake. He was at the sigma lake."]
+    texts += [texts[0]] * 30 + [texts[1].upper().replace(" ", "  "), examples[0][2], None, "", "12 34"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    ex = spark.createDataFrame(examples, "example_id long, domain string, text string")
+    glosses = [("a", "omega point, alpha ray"), ("c", "tau tax")]
+    monkeypatch.setattr(P9, "SELF_LABELLED", 20, raising=False)
+    domains = spark.createDataFrame(glosses, "domain string, ycc_gloss string")
+    got = {tuple(x) for x in P9.label_subjects(docs, ex, domains).collect()}
+    assert (200, "a") in got and len(got) == 201 + 30 + 2
+    want = P9.fit([(d, t) for _, d, t in examples], glosses, texts)
+    assert got == {(i, d) for i, t in enumerate(texts) if t for d in want.subjects(t)}
+    rows = lambda df, domain: df.selectExpr("*", f"{domain} AS d").select(F.col(df.columns[0]).alias("id"), F.col("d").cast("string").alias("domain"), "text").where("text <> ''")
+    for held, copies in ((10**6, 10**6), (3, -1)):
+        monkeypatch.setattr(P9, "HELD_COUNTS", held)
+        monkeypatch.setattr(P9, "SMALL_COPIES", copies)
+        model, _ = P9.fit_subjects(P9.stored(rows(docs, "NULL"), False), P9.stored(rows(ex, "domain"), True), glosses)
+        assert model.weights == want.weights and model.threshold == pytest.approx(want.threshold)
+
+
+def test_rare_terms_need_a_share_of_the_texts():
+    assert P9.supports(360, 2_000) == (P9.MIN_EXAMPLES, P9.MIN_TEXTS) and P9.supports(10**6, 10**8) == (10**3, 10**5)
+
+
 def test_registered_queries_have_a_function():
     from corploom.llm import registry
 
