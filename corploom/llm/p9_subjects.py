@@ -21,7 +21,7 @@ import math
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import xxhash
@@ -99,15 +99,25 @@ _FUNCTION = {k: set(v) for k, v in FUNCTION_WORDS.items()}
 _STOP = _FUNCTION["en"] | _FUNCTION["fr"]
 
 
-def ngrams(sentence: str) -> set[str]:
-    """Word n-grams that neither begin nor end with a function word, and hold no mark."""
+def ngrams(sentence: str, frequent: set[str] | None = None, known: frozenset[str] | set[str] = frozenset(), wanted: frozenset[str] | set[str] = frozenset()) -> set[str]:
+    """Word n-grams that neither begin nor end with a function word, and hold no mark.
+
+    With ``frequent`` words only those of which all but the function words are frequent, and the ``wanted`` ones; ``known`` are the words of both.
+    """
     out = set()
     for part in _MARKS.split(sentence):
-        words = [(m.start(), m.end(), m.group() in _STOP) for m in _COMPOUND.finditer(part)]
-        for i, (a, _, stop) in enumerate(words):
-            if not stop:
-                for _, b, last in words[i : i + MAX_WORDS]:
-                    if not last:
+        words = [(m.start(), m.end(), w in _STOP, w) for m in _COMPOUND.finditer(part) for w in (m.group(),)]
+        for i, (a, _, stop, _) in enumerate(words):
+            if stop:
+                continue
+            whole = True
+            for _, b, stop, w in words[i : i + MAX_WORDS]:
+                if not stop:
+                    if frequent is not None and w not in frequent:
+                        if w not in known:
+                            break
+                        whole = False
+                    if whole or part[a:b] in wanted:
                         out.add(part[a:b])
     return out
 
@@ -142,10 +152,10 @@ class Subjects:
         self.weigh(Counter(d for d, _ in texts), labelled, {g: (c, sure[g], by[g]) for g, c in df.items()}, glosses)
         bins: dict[int, tuple[int, int, float]] = {}
         for d, ss in texts:
-            for top, best, _ in self.judged(ss):
+            for top, i in self.judged(ss):
                 k = math.floor(top * SCORE_STEPS)
                 n, right, least = bins.get(k, (0, 0, top))
-                bins[k] = n + 1, right + (best == self.index[d]), min(least, top)
+                bins[k] = n + 1, right + (i == self.index[d]), min(least, top)
         self.calibrate(list(bins.values()), sum(len(ss) for _, ss in texts))
 
     @classmethod
@@ -243,8 +253,8 @@ class Subjects:
             if x > 0 and f >= best:
                 best, self.threshold = f, x
 
-    def judged(self, ss: list[str]) -> list[tuple[float, int, int]]:
-        """Of each sentence with a score the highest one and its domain, and the domain that the text's other terms decide for."""
+    def judged(self, ss: list[str]) -> list[tuple[float, int]]:
+        """Of each sentence with a score the highest one, and its domain, which the text's other terms decide if several are near."""
         scores = [x for x in map(self.score, ss) if x]
         whole: dict[int, float] = defaultdict(float)
         for x in scores:
@@ -252,17 +262,13 @@ class Subjects:
                 whole[i] += v
         out = []
         for x in scores:
-            if len(x) == 1:
-                i, top = next(iter(x.items()))
-                out.append((top, i, i))
-            else:
-                top = max(x.values())
-                out.append((top, min(i for i, v in x.items() if v == top), max((i for i, v in x.items() if v >= 0.6 * top), key=lambda i: (whole[i], x[i], -i))))
+            top = max(x.values())
+            out.append((top, next(iter(x)) if len(x) == 1 else max((i for i, v in x.items() if v >= 0.6 * top), key=lambda i: (whole[i], x[i], -i))))
         return out
 
     def about(self, ss: list[str]) -> Counter:
         """Number of sentences about each domain."""
-        return Counter(chosen for top, _, chosen in self.judged(ss) if top >= self.threshold - 1e-9)
+        return Counter(i for top, i in self.judged(ss) if top >= self.threshold - 1e-9)
 
     def label(self, ss: list[str]) -> str | None:
         """The domain of a text that is about one."""
@@ -301,17 +307,19 @@ def fit(examples: list[tuple[str, str]], glosses: list[tuple[str, str]], texts:
     return Subjects(examples, glosses, more)
 
 
-def stored(rows: DataFrame, every: bool) -> DataFrame:
-    """(id, domain, digest, n, sentences) of the rows (id, domain, text), sentences between line ends; ``every`` text, or only those in English or French."""
+def stored(rows: DataFrame, first: Subjects | None = None) -> DataFrame:
+    """(id, domain, digest, n, sentences, row) of the rows (id, domain, text), sentences between line ends. With a first model only texts in English or French, with its label as their domain."""
+    model = rows.sparkSession.sparkContext.broadcast(first)
 
     def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = model.value
         for pdf in batches:
             out = []
             for i, d, t in zip(pdf["id"].tolist(), pdf["domain"], pdf["text"]):
                 f = flat(t)
-                if every or is_en_fr(f):
+                if m is None or is_en_fr(f):
                     ss = sentences(f)
-                    out.append((i, d, xxhash.xxh3_128_digest(text_key(f).encode("utf-8", "surrogatepass")), len(ss), "\n".join(ss)))
+                    out.append((i, d if m is None else m.label(ss), xxhash.xxh3_128_digest(text_key(f).encode("utf-8", "surrogatepass")), len(ss), "\n".join(ss)))
             yield pd.DataFrame(out, columns=["id", "domain", "digest", "n", "sentences"])
 
     return cut(rows.mapInPandas(prepare, "id long, domain string, digest binary, n int, sentences string")).withColumn("row", F.monotonically_increasing_id())
@@ -330,63 +338,68 @@ def mark_copies(docs: DataFrame, examples: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(copies) if copies.count() <= SMALL_COPIES else copies, "row", "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
 
 
-def term_counts(rows: DataFrame, first: Subjects | None) -> DataFrame:
-    """(gram, domain, n): texts that hold a term by domain, and those of each domain (no term), as partial sums. The domain is the row's or, of rows without one, that of the first model."""
-    model = rows.sparkSession.sparkContext.broadcast(first)
+def partial_counts(rows: DataFrame, items: Callable[[list[str]], set[str]]) -> DataFrame:
+    """(gram, domain, n): texts that hold an item by domain, and those of each domain (no item), as partial sums. Rows without a domain don't count."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
+        counts: dict[str, Counter] = defaultdict(Counter)
 
         def summed() -> pd.DataFrame:
-            out = pd.DataFrame([(g, d, n) for (g, d), n in counts.items()], columns=["gram", "domain", "n"])
+            columns = [g for c in counts.values() for g in c], [d for d, c in counts.items() for _ in c], [n for c in counts.values() for n in c.values()]
             counts.clear()
-            return out
+            return pd.DataFrame({k: pd.Series(x, dtype=object if k != "n" else "int64") for k, x in zip(("gram", "domain", "n"), columns)})
 
         for pdf in batches:
             for d, t in zip(pdf["domain"], pdf["sentences"]):
-                ss = lines(t)
-                d = model.value.label(ss) if d is None else d
-                if d is not None:
-                    counts.update((g, d) for g in {None}.union(*map(ngrams, ss)))
-                if len(counts) > HELD_COUNTS:
+                counts[d].update(items(lines(t)))
+                counts[d][None] += 1
+                if len(counts[d]) > HELD_COUNTS // 8 and sum(map(len, counts.values())) > HELD_COUNTS:
                     yield summed()
         yield summed()
 
-    return rows.select("domain", "sentences").mapInPandas(count, "gram string, domain string, n long")
+    return rows.where("domain IS NOT NULL").select("domain", "sentences").mapInPandas(count, "gram string, domain string, n long")
+
+
+def counted_terms(examples: DataFrame, more: DataFrame | None, glosses: list[tuple[str, str]], wanted: frozenset[str] = frozenset()) -> tuple[Subjects, frozenset[str]]:
+    """A model, yet to be calibrated, of all examples and all rows of ``more`` that have a label; and the examples' terms, which are ``wanted`` of ``more``.
+
+    Only words that are in enough texts are looked for longer terms: those of a rarer word are as rare.
+    """
 
+    def parts(items: Callable[[list[str]], set[str]]) -> DataFrame:
+        own = partial_counts(examples, items).withColumn("sure", F.col("n"))
+        return own if more is None else own.unionByName(partial_counts(more, items).withColumn("sure", F.lit(0).cast("long")))
 
-def counted_terms(examples: DataFrame, more: DataFrame | None, first: Subjects | None, glosses: list[tuple[str, str]]) -> Subjects:
-    """A model, yet to be calibrated, of all examples and all rows of ``more`` that the first model labels."""
-    parts = term_counts(examples, None).withColumn("sure", F.col("n"))
-    if more is not None:
-        parts = parts.unionByName(term_counts(more, first).withColumn("sure", F.lit(0).cast("long")))
-    by = parts.groupBy("gram", "domain").agg(F.sum("n").alias("n"), F.sum("sure").alias("sure"))
+    words = cut(parts(lambda ss: set().union(*map(_COMPOUND.findall, ss))).groupBy("gram", F.when(F.col("gram").isNull(), F.col("domain")).alias("domain")).agg(F.sum("n").alias("n"), F.sum("sure").alias("sure")))
+    sizes = words.where("gram IS NULL").collect()
+    size, labelled = {r["domain"]: r["n"] for r in sizes}, sum(r["sure"] for r in sizes)
+    few, many = supports(labelled, sum(size.values()))
+    least = few if more is None else many
+    # the share bounds words and terms: a text holds only so many
+    frequent = {r[0] for r in words.where("gram IS NOT NULL").where(F.col("n") >= least).select("gram").collect()}
+    listed = sorted(gloss_terms(glosses))
+    sought = wanted.union(listed)
+    known = frequent.union(*map(_COMPOUND.findall, sought))
+    models = examples.sparkSession.sparkContext.broadcast((frequent, known, sought))
+    # both groupings by the one shuffle
+    by = parts(lambda ss: set().union(*(ngrams(x, *models.value) for x in ss))).where("gram IS NOT NULL").repartition("gram").groupBy("gram", "domain").agg(F.sum("n").alias("n"), F.sum("sure").alias("sure"))
     terms = by.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("sure").alias("sure"), F.collect_list(F.struct("domain", "n")).alias("by"))
-    wanted = F.col("gram").isin(sorted(gloss_terms(glosses))) | F.col("gram").isNull()
-    terms = cut(terms.where((F.col("n") >= MIN_TEXTS) | (F.col("sure") >= MIN_EXAMPLES) | wanted))
-    texts = terms.where("gram IS NULL").first()
-    if texts is None:
-        return Subjects.of({}, 0, {}, glosses)
-    few, many = supports(texts["sure"], texts["n"])
-    # the share bounds the terms: a text holds only so many
-    rows = terms.where("gram IS NOT NULL").where((F.col("n") >= many) | (F.col("sure") >= few) | wanted).collect()
-    return Subjects.of({x["domain"]: x["n"] for x in texts["by"]}, texts["sure"], {r["gram"]: (r["n"], r["sure"], {x["domain"]: x["n"] for x in r["by"]}) for r in rows}, glosses)
+    rows = terms.where((F.col("n") >= least) | (F.col("sure") >= few) | F.col("gram").isin(listed)).collect()
+    counted = {r["gram"]: (r["n"], r["sure"], {x["domain"]: x["n"] for x in r["by"]}) for r in rows}
+    return Subjects.of(size, labelled, counted, glosses), frozenset(g for g, (_, sure, _) in counted.items() if sure >= few)
 
 
-def judge(rows: DataFrame, model: Subjects, first: Subjects | None) -> DataFrame:
-    """(id, n, tops, chosen, right): the sentences' scores and domains; ``right``, of a text with a label that is no copy, whether the score is that of the label."""
-    models = rows.sparkSession.sparkContext.broadcast((model, first))
+def judge(rows: DataFrame, model: Subjects) -> DataFrame:
+    """(id, n, tops, chosen, right): the sentences' scores and domains; ``right``, of a text with a label that is no copy, whether the domain is the label."""
+    models = rows.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, before = models.value
+        m = models.value
         for pdf in batches:
             out = []
             for i, d, n, t, copy in zip(pdf["id"].tolist(), pdf["domain"], pdf["n"].tolist(), pdf["sentences"], pdf["copy"].tolist()):
-                ss = lines(t)
-                d = before.label(ss) if d is None and not copy else d
-                found = m.judged(ss)
-                right = None if d is None else [best == m.index[d] for _, best, _ in found]
-                out.append((i, n, [x[0] for x in found], [x[2] for x in found], right))
+                found = m.judged(lines(t))
+                out.append((i, n, [x for x, _ in found], [x for _, x in found], None if d is None or copy else [x == m.index[d] for _, x in found]))
             yield pd.DataFrame(out, columns=["id", "n", "tops", "chosen", "right"])
 
     return rows.select("id", "domain", "n", "sentences", "copy").mapInPandas(score, "id long, n int, tops array<double>, chosen array<int>, right array<boolean>")
@@ -408,14 +421,14 @@ def calibrated(model: Subjects, *judged: DataFrame) -> Subjects:
 
 
 def fit_subjects(docs: DataFrame, examples: DataFrame, glosses: list[tuple[str, str]]) -> tuple[Subjects, DataFrame]:
-    """The model of all stored examples and documents, and the judged documents."""
-    examples = examples.withColumn("copy", F.lit(False))
-    first = counted_terms(examples, None, None, glosses)
-    first = calibrated(first, judge(examples, first, None))
-    docs = mark_copies(docs, examples)
-    model = counted_terms(examples, docs.where("NOT copy"), first, glosses)
-    judged = cut(judge(docs, model, first))
-    return calibrated(model, judge(examples, model, None), judged), judged
+    """The model of all examples and documents (id, domain, text), and the judged documents."""
+    examples = stored(examples).withColumn("copy", F.lit(False))
+    first, wanted = counted_terms(examples, None, glosses)
+    first = calibrated(first, judge(examples, first))
+    docs = mark_copies(stored(docs, first), examples)
+    model, _ = counted_terms(examples, docs.where("NOT copy"), glosses, wanted)
+    judged = cut(judge(docs, model))
+    return calibrated(model, judge(examples, model), judged), judged
 
 
 def label_subjects(docs: DataFrame, examples: DataFrame, domains: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -424,7 +437,7 @@ def label_subjects(docs: DataFrame, examples: DataFrame, domains: DataFrame | No
     # the table of domains, whose terms all go into the automaton
     glosses = [] if domains is None else [(r[0], r[1]) for r in sorted(domains.select("domain", "ycc_gloss").where("domain IS NOT NULL AND ycc_gloss IS NOT NULL").distinct().collect())]
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.lit(None).cast("string").alias("domain"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text <> ''")
-    model, judged = fit_subjects(stored(rows, False), stored(labelled, True), glosses)
+    model, judged = fit_subjects(rows, labelled, glosses)
     # the domains of the sentences that reach the threshold
     reach = F.transform(F.filter(F.arrays_zip("tops", "chosen"), lambda x: x["tops"] >= model.threshold - 1e-9), lambda x: x["chosen"])
     kept = judged.select(F.col("id").alias("doc_id"), "n", reach.alias("reach")).where("size(reach) > 0")

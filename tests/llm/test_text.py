@@ -448,7 +448,7 @@ def test_every_document_teaches_its_terms(spark, monkeypatch):
     for held, copies in ((10**6, 10**6), (3, -1)):
         monkeypatch.setattr(P9, "HELD_COUNTS", held)
         monkeypatch.setattr(P9, "SMALL_COPIES", copies)
-        model, _ = P9.fit_subjects(P9.stored(rows(docs, "NULL"), False), P9.stored(rows(ex, "domain"), True), glosses)
+        model, _ = P9.fit_subjects(rows(docs, "NULL"), rows(ex, "domain"), glosses)
         assert model.weights == want.weights and model.threshold == pytest.approx(want.threshold)
 
 
