@@ -218,7 +218,8 @@ def test_words_outside_the_fit_pages(spark, monkeypatch):
 
 
 def test_expected_counts_against_brute_force(monkeypatch):
-    start = P5.Aligner.of({}, {}, {"a": {"x": (0.6, 0.5), "y": (0.2, 0.0)}, "b": {"x": (0.1, 0.3)}})
+    h = P5.word_hash
+    start = P5.Aligner.of({}, {}, {h("a"): {h("x"): (0.6, 0.5), h("y"): (0.2, 0.0)}, h("b"): {h("x"): (0.1, 0.3)}})
     pairs = [(["a", "b", "c", "c"], ["x", "y", "z"]), (["a", "d"], ["z", "w", "x"]), (["c"], ["z"]), (["b"], ["x"])] * 3
     cells, alone = {}, {}
     for es, fs in ((set(e), set(f)) for e, f in pairs):
@@ -236,8 +237,9 @@ def test_expected_counts_against_brute_force(monkeypatch):
         monkeypatch.setattr(P5, "HELD_COUNTS", held)
         counts = P5.Counts(start)
         for k in range(0, 12, 4):
-            counts.add(pairs[k : k + 4])
-        got = {(r.e, r.f): [r.forward, r.backward, r.seen] for r in counts.rows().itertuples()}
+            counts.add([(P5.Words.of([["a"], e]), P5.Words.of([f, ["q"]])) for e, f in pairs[k : k + 4]], [[(1, 0)]] * 4)
+        word = {h(w): w for w in "abcdxyzw"} | {P5.NO_HASH: None}
+        got = {(word[r.e], word[r.f]): [r.forward, r.backward, r.seen] for r in counts.rows().itertuples()}
         assert {k: v[2] for k, v in got.items() if None in k} == alone
         assert {k for k in got if None not in k} == set(cells) and all(got[k] == pytest.approx(v, rel=1e-5) for k, v in cells.items())
         assert len(counts.rows()) == 0
