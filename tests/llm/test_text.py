@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -377,6 +378,25 @@ def test_short_and_changed_items(spark):
     assert got == {(1, 1), (2, 2), (4, 3), (4, 5), (5, 4), (8, 4)}
 
 
+def test_alignment_of_many_pages_at_once():
+    r = np.random.RandomState(5)
+    keys = r.randint(0, 50, 300)
+    assert P5.unique(keys).tolist() == sorted(set(keys.tolist()))
+    for k in (keys, keys + (1 << 61), keys[:0]):
+        assert P5.firsts(k).tolist() == [k.tolist().index(x) for x in sorted(set(k.tolist()))]
+    text = "Il a\u00a0dit_oui: 3,5 \u00abmots\u00bb d'\u00e9t\u00e9\u2026 \U0001d400\U0001d401 \u4e2d\u6587 fin"
+    before = P5.words_before(text)
+    assert [before[y] for y in range(len(text) + 1)] == [len(re.findall(r"[^\W_]+", text[:y])) for y in range(len(text) + 1)]
+    # known words whose slots collide are told apart, unknown ones aren't found
+    words = np.sort(r.randint(-(1 << 62), 1 << 62, 5000))
+    aligner = P5.Aligner.of({int(w): 1.0 for w in words}, {}, {})
+    at, known = aligner.ranks(np.concatenate([words, words + 1]))
+    assert (words[at[:5000]] == words).all() and known[:5000].all() and not known[5000:].any()
+    # pages of unlike sizes at once have the paths that they have alone
+    pages = [(r.rand(n, m), r.randint(20, 90, n).tolist(), r.randint(20, 90, m).tolist()) for n, m in r.randint(1, 12, (40, 2)).tolist()]
+    assert aligner.paths(pages) == [aligner.path(*p) for p in pages]
+
+
 # ---- subjects -----------------------------------------------------------------------------------------------------------
 
 
