@@ -485,3 +485,24 @@ def test_registered_queries_have_a_function():
     assert set(sql) <= set(queries) and all(f"p{n}_found" in queries for n in (1, 2, 3, 4, 5, 6, 8, 9)) and "p7_ids" in queries
 
 
+def test_subject_terms_of_all_sentences_at_once():
+    r = random.Random(4)
+    bits = ["the", "of", "la", "tax", "court", "rain-fall", "snow", "été", "vote", ", ", ". ", "\n", "\u00a0", "  ", " \t", "’", "… ", "! ", "e.g. ", "3 ", "« ", " (", "\r\n\r\n"]
+    texts = [" ".join(r.choice(bits) for _ in range(60)) for _ in range(40)]
+    kinds = P9.word_kinds({"tax", "snow", "la"}, {"tax", "snow", "court"})
+    wanted = {"tax court", "court", "court of snow"}
+    subjects = P9.Subjects([("a", "the tax court sat. snow fell."), ("b", "la vote of tax.")] * 3, [("a", "tax,tax court,snow"), ("b", "court of snow,vote")])
+    assert len(subjects.weights) >= 5
+    for t in texts:
+        f = P9.flat(t)
+        assert not re.search(r"[^\S\n ]|  ", f) and f.split() == t.lower().replace("’", "'").split()
+        ss = P9.sentences(f)
+        assert ss == [" ".join(x.split()) for x in ss] and " ".join(ss).split() == [w for w in " ".join(ss).split(" ") if w]
+        want = set()
+        for g in set().union(*map(P9.ngrams, ss)):
+            words = [w for w in re.findall(r"[^\W\d_]+(?:-[^\W\d_]+)*", g) if w not in P9._STOP]
+            if all(w in ("tax", "snow") for w in words) or g in wanted:
+                want.add(g)
+        assert P9.frequent_ngrams(ss, kinds, wanted) == want
+        # each sentence scores as it does alone
+        assert subjects.scores(ss) == [x for one in ss for x in subjects.scores([one])]
