@@ -128,41 +128,66 @@ def word_kinds(frequent: set[str], known: set[str]) -> dict[str, int]:
     return dict.fromkeys(known, KNOWN) | dict.fromkeys(frequent, FREQUENT) | dict.fromkeys(_STOP, STOP)
 
 
-def frequent_ngrams(ss: list[str], kinds: dict[str, int], wanted: frozenset[str] | set[str]) -> set[str]:
-    """The n-grams of all sentences of which all but the function words are frequent, and the ``wanted`` ones."""
-    # what is between the words, and the words, by turns
+def pieces_of(ss: list[str]) -> tuple[list[str], list[str | None]]:
+    """The words of all sentences, and what is before each word; None where an n-gram can't go on from the word before."""
     pieces = _PIECES.split("\n".join(ss))
-    words = pieces[1::2]
-    are = list(map(kinds.get, words))
-    # places where an n-gram can't go on from the word before
-    for k, between in enumerate(pieces[::2]):
-        pieces[2 * k] = None if between != " " and _BOUND.search(between) else between
-    out, n = set(), len(words)
-    add = out.add
+    return pieces[1::2], [None if x != " " and _BOUND.search(x) else x for x in pieces[:-1:2]]
+
+
+def links(ss: list[str], kinds: dict[str, int]) -> set[str]:
+    """The frequent words, and the n-grams of two frequent words with nothing but function words between them."""
+    words, before = pieces_of(ss)
+    are, n = list(map(kinds.get, words)), len(words)
+    out = set()
+    for i, kind in enumerate(are):
+        if kind == FREQUENT:
+            g = words[i]
+            out.add(g)
+            for j in range(i + 1, min(i + MAX_WORDS, n)):
+                kind = are[j]
+                if before[j] is None or kind is None or kind == KNOWN:
+                    break
+                g += before[j] + words[j]
+                if kind == FREQUENT:
+                    out.add(g)
+                    break
+    return out
+
+
+def prefixes(terms: frozenset[str] | set[str]) -> set[str]:
+    """The terms, and what they begin with up to the end of a word."""
+    return {t[: m.end()] for t in terms for m in _COMPOUND.finditer(t)}
+
+
+def longer_ngrams(ss: list[str], kinds: dict[str, int], wanted: frozenset[str] | set[str], begins: set[str], frequent_links: set[str]) -> set[str]:
+    """The n-grams that ``links`` leaves: those of more than one link, all of them frequent, and the ``wanted`` ones; ``begins`` are their prefixes."""
+    words, before = pieces_of(ss)
+    are, n = list(map(kinds.get, words)), len(words)
+    out = set()
     for i, kind in enumerate(are):
         if kind is None or kind == STOP:
             continue
-        g, whole = words[i], kind == FREQUENT
-        if whole or g in wanted:
-            add(g)
+        g, link = words[i], ""
+        whole = kind == FREQUENT
+        linked, many = whole, False
+        if not whole and g in wanted:
+            out.add(g)
         for j in range(i + 1, min(i + MAX_WORDS, n)):
-            between = pieces[2 * j]
-            if between is None:
-                break
             kind = are[j]
-            if kind == FREQUENT:
-                g += between + words[j]
-                if whole or g in wanted:
-                    add(g)
-            elif kind == STOP:
-                g += between + words[j]
-            elif kind is None:
+            if before[j] is None or kind is None:
                 break
-            else:
-                whole = False
-                g += between + words[j]
-                if g in wanted:
-                    add(g)
+            more = before[j] + words[j]
+            g += more
+            if many and linked:
+                link += more
+            if kind != STOP:
+                whole = whole and kind == FREQUENT
+                linked = linked and whole and (link if many else g) in frequent_links
+                if (many or not whole) and (linked or g in wanted):
+                    out.add(g)
+                if not linked and g not in begins:
+                    break
+                link, many = words[j], True
     return out
 
 
@@ -424,11 +449,18 @@ def counted_terms(examples: DataFrame, more: DataFrame | None, glosses: list[tup
     listed = sorted(gloss_terms(glosses))
     sought = wanted.union(listed)
     known = frequent.union(*map(_COMPOUND.findall, sought))
-    models = examples.sparkSession.sparkContext.broadcast((word_kinds(frequent, known), sought))
-    # both groupings by the one shuffle
-    by = parts(lambda ss: frequent_ngrams(ss, *models.value)).where("gram IS NOT NULL").repartition("gram").groupBy("gram", "domain").agg(F.sum("n").alias("n"), F.sum("sure").alias("sure"))
-    terms = by.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("sure").alias("sure"), F.collect_list(F.struct("domain", "n")).alias("by"))
-    rows = terms.where((F.col("n") >= least) | (F.col("sure") >= few) | F.col("gram").isin(listed)).collect()
+    kinds = examples.sparkSession.sparkContext.broadcast(word_kinds(frequent, known))
+
+    def enough(items: Callable[[list[str]], set[str]]) -> list:
+        # both groupings by the one shuffle
+        by = parts(items).where("gram IS NOT NULL").repartition("gram").groupBy("gram", "domain").agg(F.sum("n").alias("n"), F.sum("sure").alias("sure"))
+        terms = by.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("sure").alias("sure"), F.collect_list(F.struct("domain", "n")).alias("by"))
+        return terms.where((F.col("n") >= least) | (F.col("sure") >= few) | F.col("gram").isin(listed)).collect()
+
+    # an n-gram is as rare as the rarest link in it, so only frequent links are looked for longer ones
+    rows = enough(lambda ss: links(ss, kinds.value))
+    models = examples.sparkSession.sparkContext.broadcast((sought, prefixes(sought), {r["gram"] for r in rows if r["n"] >= least}))
+    rows += enough(lambda ss: longer_ngrams(ss, kinds.value, *models.value))
     counted = {r["gram"]: (r["n"], r["sure"], {x["domain"]: x["n"] for x in r["by"]}) for r in rows}
     return Subjects.of(size, labelled, counted, glosses), frozenset(g for g, (_, sure, _) in counted.items() if sure >= few)
 

@@ -503,6 +503,10 @@ def test_subject_terms_of_all_sentences_at_once():
             words = [w for w in re.findall(r"[^\W\d_]+(?:-[^\W\d_]+)*", g) if w not in P9._STOP]
             if all(w in ("tax", "snow") for w in words) or g in wanted:
                 want.add(g)
-        assert P9.frequent_ngrams(ss, kinds, wanted) == want
+        short = P9.links(ss, kinds)
+        longer = P9.longer_ngrams(ss, kinds, wanted, P9.prefixes(wanted), short)
+        assert short.isdisjoint(longer) and short | longer == want
+        # without frequent links only those of one link and the wanted ones are left
+        assert P9.longer_ngrams(ss, kinds, wanted, P9.prefixes(wanted), set()) == {g for g in longer if g in wanted}
         # each sentence scores as it does alone
         assert subjects.scores(ss) == [x for one in ss for x in subjects.scores([one])]
