@@ -277,3 +277,31 @@ def test_best_match_writes_no_pairs(spark):
     for r in docs.orderBy("id").collect():
         first.setdefault(tuple(r["t"]), r["id"])
     assert {r["q"]: (r["id"], r["score"]) for r in best.collect()} == {r["q"]: (first[tuple(r["a"])], 1.0) for r in asked.collect()}
+
+
+def test_training_writes_no_cells(spark):
+    """The probabilities are those of plain expectation-maximization, and the shared folder doesn't get the cells of all pairs."""
+    import os
+
+    from corploom.session import ensure_checkpoint_dir
+
+    data = [(i, [f"s{(i * (j + 3) + j) % 37}" for j in range(20)], [f"t{(i * (j + 5) + j * j) % 41}" for j in range(20)]) for i in range(300)]
+    pairs = spark.createDataFrame(data, "line_no int, src_tokens array<string>, tgt_tokens array<string>")
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(folder) for f in fs)
+    before = size()
+    got = {(r["e"], r["f"]): r["p"] for r in A.lexical_table(pairs, rounds=3).collect()}
+    assert size() - before < 3_000_000  # the cells alone are 120,000 rows of 64 bytes and more
+    p = {}
+    for _ in range(3):
+        counts, totals = {}, {}
+        for _, s, t in data:
+            for f in t:
+                z = sum(p.get((e, f), 0.0) if p else 1.0 for e in ["", *s])
+                for e in ["", *s]:
+                    c = (p[e, f] if p else 1.0) / z
+                    counts[e, f] = counts.get((e, f), 0.0) + c
+                    totals[e] = totals.get(e, 0.0) + c
+        p = {(e, f): c / totals[e] for (e, f), c in counts.items()}
+    assert got == pytest.approx(p)
