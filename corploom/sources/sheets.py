@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from itertools import chain, count, islice
 from xml.etree import ElementTree
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,6 +13,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+#: Rows that a sheet can hold, by the format.
+SHEET_ROWS = 1_048_576
 SCHEMA = "sheet string, row int, col int, value string, number double"
 
 
@@ -37,7 +40,13 @@ def read_cells(path: str, sheet: str, part: str) -> Iterator[tuple]:
         if "xl/sharedStrings.xml" in z.namelist():
             shared = ["".join(t.text or "" for t in si.iter(_NS + "t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(_NS + "si")]
         with z.open(part) as f:
-            for _, c in ElementTree.iterparse(f):
+            held = None
+            for event, c in ElementTree.iterparse(f, ("start", "end")):
+                if event == "start":
+                    held = c if c.tag == _NS + "sheetData" else held
+                    continue
+                if c.tag == _NS + "row":
+                    held.clear()  # else all rows stay in memory
                 if c.tag != _NS + "c":
                     continue
                 kind, v = c.get("t"), c.find(_NS + "v")
@@ -50,7 +59,6 @@ def read_cells(path: str, sheet: str, part: str) -> Iterator[tuple]:
                     elif kind in (None, "n"):
                         number = float(text)
                     yield sheet, int(re.search(r"\d+", ref).group()) - 1, _column(ref), text, number
-                c.clear()
 
 
 class _Sheet(InputPartition):
@@ -116,21 +124,28 @@ def columns(cells: DataFrame, sheet: str, first: int = 0, last: int | None = Non
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, src, tgt) of a workbook with exactly one sheet of exactly two columns; trimmed, missing cells are ''."""
-    names = sheet_names(path)
-    if len(names) != 1:
+    """(line_no, src, tgt) of a workbook with exactly one sheet, and those that continue it, of exactly two columns; trimmed, missing cells are ''."""
+    names = [name for name, _ in sheet_names(path)]
+    if not names or names != [continued(names[0], k) for k in range(len(names))]:
         raise ValueError(f"{path} has {len(names)} sheets, not 1")
     cells = read_xlsx(spark, path)
     wide = cells.agg(F.max("col")).first()[0]
     if wide is not None and wide != 1:
         raise ValueError(f"{path} has {wide + 1} columns, not 2")
-    r = rows(cells, names[0][0], end=1)
+    before = (F.array_position(F.array(*map(F.lit, names)), F.col("sheet")) - 1) * SHEET_ROWS
+    r = rows(cells.withColumn("row", F.col("row") + before).withColumn("sheet", F.lit(names[0])), names[0], end=1)
     get = lambda i: F.trim(F.coalesce(F.get("values", F.lit(i)), F.lit("")))
     return r.select(F.col("row").cast("long").alias("line_no"), get(0).alias("src"), get(1).alias("tgt"))
 
 
-def write_xlsx(sheets: dict[str, DataFrame], path: str, most_rows: int = 1_048_575) -> None:
-    """A workbook with the columns' names as first rows, written by the driver row by row. A sheet can't hold more than ``most_rows`` rows: larger frames raise."""
+def continued(name: str, k: int) -> str:
+    """The name of the k-th sheet that continues one; names have 31 characters at most."""
+    end = f" ({k + 1})" if k else ""
+    return name[: 31 - len(end)] + end if k else name
+
+
+def write_xlsx(sheets: dict[str, DataFrame], path: str, most_rows: int = SHEET_ROWS - 1) -> None:
+    """A workbook with the columns' names as first rows, written by the driver row by row. A sheet can't hold more than ``most_rows`` rows below its first: larger frames go on in further sheets, without names."""
     from xml.sax.saxutils import escape
 
     def letters(i: int) -> str:
@@ -149,21 +164,22 @@ def write_xlsx(sheets: dict[str, DataFrame], path: str, most_rows: int = 1_048_5
                 cs.append(f'<c r="{r}"><v>{v}</v></c>' if isinstance(v, int | float) and not isinstance(v, bool) else f'<c r="{r}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>')
         return f'<row r="{i}">{"".join(cs)}</row>'
 
-    def xml(df: DataFrame, out) -> None:
-        # partition by partition, so that the driver never holds a sheet
-        out.write(f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{_NS[1:-1]}"><sheetData>{line(1, tuple(df.columns))}'.encode())
-        for i, row in enumerate(df.toLocalIterator(), 2):
-            if i > most_rows + 1:
-                raise ValueError("too many rows for a sheet; write CSV or Parquet")
-            out.write(line(i, tuple(row)).encode())
-        out.write(b"</sheetData></worksheet>")
-
-    names = list(sheets)
+    names: list[str] = []
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, df in sheets.items():
+            # partition by partition, so that the driver never holds a sheet
+            lines = chain([tuple(df.columns)], map(tuple, df.toLocalIterator()))
+            for k in count():
+                first = list(islice(lines, 1))
+                if not first:
+                    break
+                names.append(continued(name, k))
+                with z.open(f"xl/worksheets/sheet{len(names)}.xml", "w", force_zip64=True) as out:
+                    out.write(f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{_NS[1:-1]}"><sheetData>'.encode())
+                    for i, row in enumerate(chain(first, islice(lines, most_rows)), 1):
+                        out.write(line(i, row).encode())
+                    out.write(b"</sheetData></worksheet>")
         z.writestr("[Content_Types].xml", '<?xml version="1.0"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>' + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(names) + 1)) + "</Types>")
         z.writestr("_rels/.rels", f'<?xml version="1.0"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="{_REL[1:-1]}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
         z.writestr("xl/workbook.xml", f'<?xml version="1.0"?><workbook xmlns="{_NS[1:-1]}" xmlns:r="{_REL[1:-1]}"><sheets>' + "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(names, 1)) + "</sheets></workbook>")
         z.writestr("xl/_rels/workbook.xml.rels", '<?xml version="1.0"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="rId{i}" Type="{_REL[1:-1]}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1)) + "</Relationships>")
-        for i, n in enumerate(names, 1):
-            with z.open(f"xl/worksheets/sheet{i}.xml", "w") as part:
-                xml(sheets[n], part)

@@ -125,3 +125,11 @@ def test_queries_run_on_the_smallest_tables(spark):
         pytest.skip("no test tables")
     for name in ("clean_pipeline", "norm_humanize_fra", "keyed_update", "anchor_edges", "bm25_topk", "tmx_roundtrip", "match_form"):
         assert queries[name](spark, where).limit(1).count() <= 1, name
+
+
+def test_long_frames_go_on_in_further_sheets(spark, tmp_path):
+    path = str(tmp_path / "long.xlsx")
+    X.write_xlsx({"Sheet1": spark.range(25).coalesce(1).select(F.concat(F.lit("s"), F.col("id")).alias("source"), F.concat(F.lit("t"), F.col("id")).alias("target"))}, path, most_rows=9)
+    assert [n for n, _ in X.sheet_names(path)] == ["Sheet1", "Sheet1 (2)", "Sheet1 (3)"]
+    got = [tuple(r) for r in M.read_memory(spark, path, "excel").where("unit > 0").orderBy("unit").select("src", "tgt").collect()]
+    assert got == [(f"s{i}", f"t{i}") for i in range(25)]
