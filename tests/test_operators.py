@@ -305,3 +305,19 @@ def test_training_writes_no_cells(spark):
                     totals[e] = totals.get(e, 0.0) + c
         p = {(e, f): c / totals[e] for (e, f), c in counts.items()}
     assert got == pytest.approx(p)
+
+
+def test_term_pairs_write_no_cells(spark):
+    """Terms come through the packed alignment: the shared folder doesn't get the cells of all pairs in every round."""
+    import os
+
+    from corploom.session import ensure_checkpoint_dir
+
+    word = lambda n, m: "".join(chr(97 + (n // 5**k) % 5) for k in range(3)) + m
+    pairs = spark.createDataFrame([(i, " ".join(word((i * (j + 3) + j) % 37, "ol") for j in range(20)), " ".join(word((i * (j + 5) + j * j) % 41, "ir") for j in range(20))) for i in range(300)], "id int, s string, t string")
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(folder) for f in fs)
+    before = size()
+    A.extract_terms(pairs, "id", "s", "t", "eng", "fra", []).collect()
+    assert size() - before < 8_000_000  # the cells of both directions alone are 240,000 rows of 64 bytes and more
